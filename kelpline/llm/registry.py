@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import simhash
+from . import outliers, simhash
 
 QUERIES: dict = {
     "op1_simhash": simhash.query,
+    "op9_outliers": outliers.query,
 }
 ORACLES: dict[str, str] = {}
