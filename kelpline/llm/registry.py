@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import outliers, simhash
+from . import outliers, pii, simhash
 
 QUERIES: dict = {
     "op1_simhash": simhash.query,
+    "op3_pii": pii.query,
     "op9_outliers": outliers.query,
 }
 ORACLES: dict[str, str] = {}
