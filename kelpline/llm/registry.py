@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import ordinal, outliers, pii, simhash
+from . import decontam, ordinal, outliers, pii, simhash
 
 QUERIES: dict = {
     "op1_simhash": simhash.query,
     "op3_pii": pii.query,
+    "op8_decontam": decontam.query,
     "op9_outliers": outliers.query,
     "op10_ordinal": ordinal.query,
 }
