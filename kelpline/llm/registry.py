@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import decontam, ordinal, outliers, pii, simhash
+from . import decontam, ordinal, outliers, packing, pii, simhash
 
 QUERIES: dict = {
     "op1_simhash": simhash.query,
+    "op2_packing": packing.query,
     "op3_pii": pii.query,
     "op8_decontam": decontam.query,
     "op9_outliers": outliers.query,
     "op10_ordinal": ordinal.query,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_packing": packing.ORACLE,
+}
