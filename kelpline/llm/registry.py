@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from . import decontam, html_text, ordinal, outliers, packing, pii, simhash
+from . import decontam, html_text, ordinal, outliers, packing, pii, simhash, warc
 
 QUERIES: dict = {
     "op1_simhash": simhash.query,
     "op2_packing": packing.query,
     "op3_pii": pii.query,
     "op4_html": html_text.query,
+    "op6_warc": warc.query,
     "op8_decontam": decontam.query,
     "op9_outliers": outliers.query,
     "op10_ordinal": ordinal.query,
 }
 ORACLES: dict[str, str] = {
     "op2_packing": packing.ORACLE,
+    "op6_warc": warc.ORACLE,
 }
