@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, html_text, ordinal, outliers, packing, pii, simhash, warc
+from . import decontam, html_text, lm_score, ordinal, outliers, packing, pii, simhash, warc
 
 QUERIES: dict = {
     "op1_simhash": simhash.query,
@@ -10,6 +10,7 @@ QUERIES: dict = {
     "op3_pii": pii.query,
     "op4_html": html_text.query,
     "op6_warc": warc.query,
+    "op7_lm_score": lm_score.query,
     "op8_decontam": decontam.query,
     "op9_outliers": outliers.query,
     "op10_ordinal": ordinal.query,
@@ -17,4 +18,5 @@ QUERIES: dict = {
 ORACLES: dict[str, str] = {
     "op2_packing": packing.ORACLE,
     "op6_warc": warc.ORACLE,
+    "op7_lm_score": lm_score.ORACLE,
 }
