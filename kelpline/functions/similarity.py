@@ -10,6 +10,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from .text import sorted_tokens, token_set
 
@@ -27,7 +28,7 @@ def lcs_length(a: str, b: str) -> int:
     return len(a) - v.bit_count()
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(IntegerType())
 def lcs(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else lcs_length(x, y) for x, y in zip(a, b, strict=True)], dtype="Int32")
 

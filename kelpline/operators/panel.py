@@ -175,7 +175,8 @@ def resolve(matched: DataFrame, votes_: DataFrame, attrs: list[str], agreement_a
     judged = votes_.join(mean, ["query_id", "attr"]).withColumn("major", majority(F.col("mean_vote")))
     judged = judged.groupBy("query_id", "attr", "major", "p").agg(F.avg((F.col("vote") == F.col("major")).cast("double")).alias("agree"))
     sure = F.when(F.col("major") == 1, F.col("p")).otherwise(1 - F.col("p"))
-    rows = own.join(judged, ["query_id", "attr"]).withColumn("sure", sure).where("major <> own")
+    # rounded, so that the order of a sum does not decide at a threshold
+    rows = own.join(judged, ["query_id", "attr"]).withColumn("sure", F.round(sure, 9)).where("major <> own")
     rows = rows.withColumn("settled", (F.col("agree") >= agreement_at) & (F.col("sure") >= probability_at))
     got = rows.groupBy("query_id").agg(
         F.count("*").alias("disagreements"),
