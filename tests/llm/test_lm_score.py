@@ -5,7 +5,7 @@ import pytest
 
 from kelpline.llm import lm_score, registry
 
-from .oracle import same
+from tests.llm.oracle import same
 
 DOCS = "doc_id long, text string, word int, n string, score double"
 

@@ -3,7 +3,7 @@ import random
 
 from kelpline.llm import packing, registry
 
-from .oracle import same
+from tests.llm.oracle import same
 
 DOCS = "doc_id long, text string, chunk int, bucket string"
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kelpline.llm import registry, warc
 
-from .oracle import same
+from tests.llm.oracle import same
 
 PAGES = "page_id long, url string, html string, payload string, id int"
 
