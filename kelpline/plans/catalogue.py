@@ -444,7 +444,7 @@ def retrieval_summary(spark, sf):
     return s.select("n_queries", *[F.round(c, 6).alias(c) for c in s.columns if c != "n_queries"])
 
 
-DELTAS = ", ".join(f"round(s * (tg.{f} - r.{f}), 6) AS d_{f}" for f in ranking.FEATURES)
+DELTAS = ", ".join(f"round(s * (tg.{f} - r.{f}), 6) + 0.0 AS d_{f}" for f in ranking.FEATURES)
 
 
 @query(
