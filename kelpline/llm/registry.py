@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontam, html_text, lm_score, ordinal, outliers, packing, pii, simhash, warc
+from . import compaction, decontam, html_text, lm_score, ordinal, outliers, packing, pii, simhash, warc
 
 QUERIES: dict = {
     "op1_simhash": simhash.query,
     "op2_packing": packing.query,
     "op3_pii": pii.query,
     "op4_html": html_text.query,
+    "op5_compaction": compaction.query,
     "op6_warc": warc.query,
     "op7_lm_score": lm_score.query,
     "op8_decontam": decontam.query,
