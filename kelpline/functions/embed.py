@@ -1,4 +1,7 @@
-"""Text embedders. Any object with ``vectors(Column) -> Column`` (array<double>) can be injected."""
+"""Text embedders. Any object with ``vectors(Column) -> Column`` of unit array<double> can be injected.
+
+Vectors are scaled to norm 1 in the worker that makes them (zero vectors stay), whatever the model returns.
+"""
 
 from __future__ import annotations
 
@@ -11,8 +14,6 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import unit
-
 
 class Embedder(Protocol):
     def vectors(self, text: Column) -> Column: ...
@@ -61,11 +62,12 @@ class FunctionEmbedder:
         def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             encode = make()
             for b in batches:
-                yield pd.Series([[float(x) for x in row] for row in encode([t or "" for t in b])])
+                rows = np.asarray(encode([t or "" for t in b]), dtype=float).reshape(len(b), -1)
+                norms = np.linalg.norm(rows, axis=1, keepdims=True)
+                yield pd.Series((rows / np.where(norms == 0, 1.0, norms)).tolist())
 
         return embed(text)
 
 
 def embedded(embedder: Embedder, text: Column) -> Column:
-    """Unit vectors whatever the embedder returns."""
-    return unit(embedder.vectors(text))
+    return embedder.vectors(text)

@@ -95,13 +95,16 @@ def train(rows: DataFrame, attrs: list[str], min_class_count: int = 5, models: t
 
 def _platt(data: DataFrame, folds: int = 3) -> list[object]:
     """A logistic scaling of the margin from each fold's held-out rows."""
+    dealt = data.withColumn("fold", F.pmod(F.xxhash64("features", "label"), F.lit(folds)).cast("int")).persist()
+    classes = {(r.fold, r.label) for r in dealt.select("fold", "label").distinct().collect()}
+    full = [k for k in range(folds) if all({v for f, v in classes if (f == k) == held} == {0.0, 1.0} for held in (True, False))]
     out = []
-    dealt = data.withColumn("fold", F.pmod(F.xxhash64("features", "label"), F.lit(folds)))
-    for k in range(folds):
+    for k in full or [-1]:  # without a usable fold the scaling is fitted on all rows
         model = LinearSVC(weightCol="weight").fit(dealt.where(F.col("fold") != k))
-        margins = model.transform(dealt.where(F.col("fold") == k))
+        margins = model.transform(dealt.where((F.col("fold") == k) | F.lit(k < 0)))
         margins = margins.select("label", array_to_vector(F.array(vector_to_array("rawPrediction")[1])).alias("features"))
-        out.append(LogisticRegression().fit(margins))
+        out.append(LogisticRegression(regParam=1e-3).fit(margins))
+    dealt.unpersist()
     return out
 
 

@@ -26,7 +26,8 @@ def primary_tables(results: DataFrame, key: DataFrame | None, site: str, attrs:
     review = keep_first(out.where(F.col("needs_human_review")), INPUT, "result_seq")
     columns = [*contracts.KEY_COLUMNS, *attrs]
     fresh = added.withColumnsRenamed({"input_chrg_code": "chrg_code", "input_chrg_desc": "chrg_desc"})
-    fresh = contracts.conform(fresh, columns).select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns], added["result_seq"].alias("load_seq"))
+    fresh = contracts.conform(fresh, [*columns, "result_seq"])
+    fresh = fresh.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns], F.col("result_seq").alias("load_seq"))
     if key is None:
         merged = keep_first(fresh, ["chrg_code", "chrg_desc"], "load_seq")
     else:
