@@ -1,26 +1,40 @@
-"""Stupid-backoff language-model scores, computed relationally.
+"""Stupid-backoff language-model scores from n-gram count tables partitioned by hash.
 
-Words are lower-case runs of non-space. Bigram and word counts over all texts
-are tables keyed by 64-bit hashes; bigrams seen fewer than MIN_COUNT times are
-pruned. A text's bigrams are exploded and joined to the bigram table; each then
-needs one word count, that of its first word where the bigram is known and that
-of its second where it backs off:
+Words are lower-case runs of non-space. With c the counts over all texts, and
+bigrams seen fewer than MIN_COUNT times pruned,
 
     S(b | a) = c(a b) / c(a)        if c(a b) >= MIN_COUNT
              = ALPHA * c(b) / total  otherwise
 
-The first word of a text scores c(a) / total. Logarithms are summed per text.
-Counts combine before they shuffle, and hot bigrams are split by adaptive skew
-joins, as nothing above those joins needs the rows of a key together.
+and the first word of a text scores c(a) / total. Logarithms are summed per text.
 
-Edges: a null or blank text has no words, score 0 and a null mean. Rows are told
-apart by id and text; repeated rows count in the tables as often as they come and
-each gets its score. Hashes are XXH64: two n-grams share one with a chance of
-about n^2 / 2^65. Other columns are ignored.
+The bigrams of a text are far more rows than anything else, so they travel as
+blobs: a task packs the bigrams of CHUNK words by bucket of their hash, each as 48
+hash bits, the codes of its words' counts and the number of its text (12 bytes).
+A bucket (about BUCKET bigrams of the whole corpus, so there are as many buckets as
+the corpus needs) is counted and joined back to its bigrams by sorting; its sums by
+text return to their chunk, where a text's score is added up. Equal bigrams meet in
+one bucket, but no bucket holds more than one word pair beyond its share: a pair
+that every text has is one more row for each of its mentions, spread over chunks.
+
+The word table is broadcast where a count shows at most WORDS words (12 bytes
+each). Beyond that ``joined_scores`` gives the same scores by joins alone, at the
+price of a row per bigram in two shuffles.
+
+Edges: a null or blank text has no words, score 0 and a null mean. Repeated rows
+count in the tables as often as they come and each gets its score. Hashes are
+XXH64 of words and a 64-bit mix for pairs, of which a bucket keeps 48 bits: of
+10^8 different pairs about one meets another. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +43,11 @@ from .textstats import SPACE, barrier
 
 ALPHA = 0.4
 MIN_COUNT = 2
+WORDS = 4_000_000
+CHUNK, BUCKET, BUCKETS = 1 << 20, 1 << 20, 64
+#: Words whose hashes a worker remembers.
+REMEMBERED = 500_000
+_LOW = np.uint64((1 << 48) - 1)
 
 
 def _worded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -37,11 +56,173 @@ def _worded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return barrier(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("doc_hash"), F.transform(words, lambda w: F.xxhash64(w)).alias("words")))
 
 
+def word_counts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int, int]:
+    """(table of word and n, all words, different words)."""
+    counts = _worded(docs, id_col, text_col).select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    counts = written(counts, "words")
+    row = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    return counts, row[0], row[1]
+
+
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, score, mean): one row per input row."""
+    counts, total, different = word_counts(docs, id_col, text_col)
+    if different > WORDS:
+        return joined_scores(docs, counts, total, id_col, text_col)
+    return packed_scores(docs, counts, total, id_col, text_col)
+
+
+def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """64 well-mixed bits of a pair of word hashes."""
+    with np.errstate(over="ignore"):
+        x = a * np.uint64(0x9E3779B97F4A7C15) + (b ^ (b >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xD6E8FEB86659FD93)
+        return x ^ (x >> np.uint64(32))
+
+
+_PACKED = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("ids", pa.binary()), ("nulls", pa.binary()), ("sizes", pa.binary()), ("base", pa.binary()), ("text", pa.binary()), ("gram", pa.binary()), ("a", pa.binary()), ("b", pa.binary())])
+_PACKED_DDL = "bucket int, chunk bigint, ids binary, nulls binary, sizes binary, base binary, text binary, gram binary, a binary, b binary"
+_SUMS = pa.schema([("chunk", pa.int64()), ("ids", pa.binary()), ("nulls", pa.binary()), ("sizes", pa.binary()), ("base", pa.binary()), ("text", pa.binary()), ("sum", pa.binary())])
+_SUMS_DDL = "chunk bigint, ids binary, nulls binary, sizes binary, base binary, text binary, sum binary"
+
+
+def _rows(schema: pa.Schema, rows: list[dict]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in rows], f.type) for f in schema], schema=schema)
+
+
+def _runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
+    """Rows of one key at a time, from batches sorted by it."""
+    held: list[dict] = []
+    for batch in batches:
+        for row in (r for k in range(0, batch.num_rows, 64) for r in batch.slice(k, 64).to_pylist()):
+            if held and held[-1][key] != row[key]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def packed_scores(docs: DataFrame, counts: DataFrame, total: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    spark = docs.sparkSession
+    got = counts.toArrow()  # at most WORDS rows of 16 bytes
+    word, n = got.column("word").to_numpy().view(np.uint64), got.column("n").to_numpy()
+    order = np.argsort(word)
+    values = np.unique(n)
+    code_type = np.uint16 if len(values) < 1 << 16 else np.uint32
+    shared = spark.sparkContext.broadcast((word[order], np.searchsorted(values, n[order]).astype(code_type), values))
+    buckets = max(BUCKETS, -(-total // BUCKET))
+    log_total, log_alpha = float(np.log(max(total, 1))), float(np.log(ALPHA))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, codes, values = shared.value
+        logs = np.log(values)
+        known: dict[bytes, int] = {}
+        digest = xxhash.xxh64_intdigest
+        part, number = TaskContext.get().partitionId(), 0
+        ids: list = []
+        lists: list[list[int]] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            nonlocal number, size
+            sizes = np.array([len(x) for x in lists], dtype=np.int64)
+            h = np.array([v for x in lists for v in x], dtype=np.uint64)
+            c = codes[np.searchsorted(keys, h)] if len(h) else np.array([], dtype=code_type)
+            text = np.repeat(np.arange(len(lists)), sizes)
+            starts = np.cumsum(sizes) - sizes
+            first = np.zeros(len(h), dtype=bool)
+            first[starts[sizes > 0]] = True
+            each = logs[c] - log_total + np.where(first, 0.0, log_alpha)
+            base = np.bincount(text, weights=each, minlength=len(lists))
+            second = np.flatnonzero(~first)
+            gram = _mix(h[second - 1], h[second])
+            bucket = ((gram >> np.uint64(48)).astype(np.int64) * buckets) >> 16 if buckets <= 1 << 16 else (gram >> np.uint64(16)).astype(np.int64) % buckets
+            by = np.argsort(bucket, kind="stable")
+            edges = np.flatnonzero(np.r_[True, np.diff(bucket[by]) != 0, True]) if len(by) else np.array([0])
+            chunk = (part << 32) | number
+            low = (gram & _LOW).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+            rows = [
+                {"bucket": chunk % buckets, "chunk": chunk, "ids": np.array([x or 0 for x in ids], dtype=np.int64).tobytes(), "nulls": np.array([x is None for x in ids]).tobytes(), "sizes": sizes.tobytes(), "base": base.tobytes()}
+            ]
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                at = by[lo:hi]
+                rows.append(
+                    {"bucket": int(bucket[at[0]]), "chunk": chunk, "text": text[second[at]].astype(np.uint16).tobytes(), "gram": low[at].tobytes(), "a": c[second[at] - 1].tobytes(), "b": c[second[at]].tobytes()}
+                )
+            ids.clear()
+            lists.clear()
+            number, size = number + 1, 0
+            return _rows(_PACKED, rows)
+
+        for batch in batches:
+            for doc, raw in zip(batch.column(0), batch.column(1), strict=True):
+                hashes = []
+                for w in raw.as_buffer().to_pybytes().split():
+                    v = known.get(w)
+                    if v is None:
+                        if len(known) >= REMEMBERED:
+                            known.clear()
+                        v = known[w] = digest(w, 42)
+                    hashes.append(v)
+                ids.append(doc.as_py())
+                lists.append(hashes)
+                size += len(hashes)
+                if size >= CHUNK or len(lists) >= 60_000:
+                    yield flush()
+        if lists:
+            yield flush()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, _, values = shared.value
+        logs = np.log(values)
+        for run in _runs(batches, "bucket"):
+            own = [r for r in run if r["gram"] is None]
+            if own:
+                yield _rows(_SUMS, own)
+            parts = [r for r in run if r["gram"] is not None]
+            if not parts:
+                continue
+            text = [np.frombuffer(r["text"], dtype=np.uint16) for r in parts]
+            gram = np.zeros((sum(map(len, text)), 8), dtype=np.uint8)
+            gram[:, :6] = np.concatenate([np.frombuffer(r["gram"], dtype=np.uint8) for r in parts]).reshape(-1, 6)
+            _, place, times = np.unique(gram.view("<u8").ravel(), return_inverse=True, return_counts=True)
+            a, b = (np.concatenate([np.frombuffer(r[k], dtype=code_type) for r in parts]) for k in ("a", "b"))
+            seen = times[place] >= MIN_COUNT
+            gain = np.where(seen, np.log(times[place]) - logs[a] - (log_alpha + logs[b] - log_total), 0.0)
+            at = 0
+            for r, t in zip(parts, text, strict=True):
+                mine = seen[at : at + len(t)]
+                if mine.any():
+                    which, back = np.unique(t[mine], return_inverse=True)
+                    sums = np.bincount(back, weights=gain[at : at + len(t)][mine])
+                    yield _rows(_SUMS, [{"chunk": r["chunk"], "text": which.tobytes(), "sum": sums.tobytes()}])
+                at += len(t)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in _runs(batches, "chunk"):
+            own = next(r for r in run if r["ids"] is not None)
+            score = np.frombuffer(own["base"]).copy()
+            for r in run:
+                if r["sum"] is not None:
+                    score[np.frombuffer(r["text"], dtype=np.uint16)] += np.frombuffer(r["sum"])
+            sizes = np.frombuffer(own["sizes"], dtype=np.int64)
+            gone = np.frombuffer(own["nulls"], dtype=bool)
+            mean = pa.array(score / np.maximum(sizes, 1), mask=sizes == 0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.frombuffer(own["ids"], dtype=np.int64), mask=gone), pa.array(sizes), pa.array(score), mean], names=["doc_id", "n_words", "score", "mean"]
+            )
+
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).cast("binary").alias("text"))
+    packed = texts.mapInArrow(pack, _PACKED_DDL).repartition("bucket").sortWithinPartitions("bucket")
+    sums = packed.mapInArrow(count, _SUMS_DDL).repartition("chunk").sortWithinPartitions("chunk")
+    return sums.mapInArrow(add, "doc_id bigint, n_words bigint, score double, mean double")
+
+
+def joined_scores(docs: DataFrame, singles: DataFrame, total: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The same by joins of exploded bigrams to the count tables, without any broadcast of words."""
     worded = _worded(docs, id_col, text_col)
-    singles = written(worded.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")), "words")
-    total = singles.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     n = F.size("words")
     pairs = F.arrays_zip(F.slice("words", 1, F.greatest(n - 1, F.lit(0))).alias("a"), F.slice("words", 2, F.greatest(n - 1, F.lit(0))).alias("b"))
     exploded = worded.where(n > 1).select("doc_id", "doc_hash", F.explode(pairs).alias("p")).select("doc_id", "doc_hash", "p.a", "p.b", F.xxhash64("p.a", "p.b").alias("gram"))

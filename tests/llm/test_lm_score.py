@@ -14,7 +14,7 @@ def test_query_matches_sql(spark, sf):
     assert same(lm_score.query(spark, sf), registry.ORACLES["op7_lm_score"], sf) >= 200
 
 
-def test_brute_force_and_edge_rows(spark):
+def test_brute_force_and_edge_rows(spark, monkeypatch):
     texts = [(1, "a b a b c"), (2, "A b d"), (3, None), (4, " \n"), (5, "e"), (None, "a b"), (6, "x " * 5000), (7, "a b"), (7, "a b")]
     words = [(t or "").lower().split() for _, t in texts]
     one, two = Counter(w for ws in words for w in ws), Counter(p for ws in words for p in zip(ws, ws[1:], strict=False))
@@ -26,9 +26,12 @@ def test_brute_force_and_edge_rows(spark):
             s += math.log(two[a, b] / one[a]) if two[a, b] >= 2 else math.log(0.4 * one[b] / total)
         want.append((d or -1, len(ws), s))
     rows = [(d, t, 1, "x", 0.5) for d, t in texts]
-    got = sorted((r.doc_id or -1, r.n_words, r.score) for r in lm_score.scores(spark.createDataFrame(rows, DOCS)).collect())
-    for g, w in zip(got, sorted(want), strict=True):
-        assert g[:2] == w[:2] and g[2] == pytest.approx(w[2], abs=1e-6)
+    monkeypatch.setattr(lm_score, "CHUNK", 8)  # several chunks a task
+    for bound in (1000, 0):  # packed, then by joins
+        monkeypatch.setattr(lm_score, "WORDS", bound)
+        got = sorted((r.doc_id or -1, r.n_words, r.score) for r in lm_score.scores(spark.createDataFrame(rows, DOCS)).collect())
+        for g, w in zip(got, sorted(want), strict=True):
+            assert g[:2] == w[:2] and g[2] == pytest.approx(w[2], abs=1e-6)
 
 
 def test_empty_table(spark):
