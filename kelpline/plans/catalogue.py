@@ -57,11 +57,11 @@ def parts(spark: SparkSession, sf: str) -> DataFrame:
 
 def sales(spark: SparkSession, sf: str) -> DataFrame:
     """Yearly catalogue rows: a part per line item, its year and a load order."""
-    lines = table(spark, sf, "lineitem").select("l_partkey", F.year("l_shipdate").alias("source_year"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("load_seq"))
+    lines = table(spark, sf, "lineitem").select("l_partkey", F.year("l_shipdate").alias("source_year"), ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey")).alias("load_seq"))
     return lines.join(parts(spark, sf), F.col("l_partkey") == F.col("p_partkey")).select("code", F.col("desc"), "source_year", "load_seq", F.col("p_partkey"))
 
 
-SALES = f"""s AS (SELECT {CODE} AS code, {DESC} AS "desc", year(l_shipdate) AS source_year, l_orderkey * 10 + l_linenumber AS load_seq, p_partkey
+SALES = f"""s AS (SELECT {CODE} AS code, {DESC} AS "desc", year(l_shipdate) AS source_year, (l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey AS load_seq, p_partkey
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 
@@ -557,7 +557,7 @@ def vote_table(spark, sf):
     f"""WITH {VOTES}, m AS (SELECT query_id, attr, round_even(avg(vote), 0) AS major, avg(probability) AS p FROM v GROUP BY ALL),
 a AS (SELECT m.*, avg(CASE WHEN vote = major THEN 1.0 ELSE 0.0 END) AS agree, round(any_value(CASE WHEN major = 1 THEN p ELSE 1 - p END), 9) AS sure FROM m JOIN v USING (query_id, attr) GROUP BY query_id, attr, major, p),
 d AS (SELECT *, agree >= 0.8 AND sure >= 0.85 AS settled FROM a JOIN (SELECT o_orderkey AS query_id, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS own FROM orders) USING (query_id) WHERE major <> own)
-SELECT o_orderkey AS query_id, count(d.query_id) AS disagreements, count(*) FILTER (WHERE settled) AS resolved, round_even(least(1.0, coalesce(min(sure), 1.0)), 4) AS confidence, coalesce(bool_or(NOT settled), false) AS unresolved
+SELECT o_orderkey AS query_id, count(d.query_id) AS disagreements, count(*) FILTER (WHERE settled) AS resolved, round_even(round(least(1.0, coalesce(min(sure), 1.0)) * 1e9) / 1e5, 0) / 1e4 AS confidence, coalesce(bool_or(NOT settled), false) AS unresolved
 FROM orders LEFT JOIN d ON d.query_id = o_orderkey GROUP BY o_orderkey""",
 )
 def committee_consensus(spark, sf):
