@@ -235,3 +235,54 @@ def query(spark, sf_dir: str) -> DataFrame:
         digest(F.sort_array(F.concat("__base", "__terms"))).alias("spans"),
         F.size("__terms").cast("long").alias("n_terms"),
     )
+
+
+def _sql_places(pattern: str, text: str) -> str:
+    return f"regexp_extract_all({text}, '{pattern}') AS m, regexp_split_to_array({text}, '{pattern}') AS s"
+
+
+_SQL_START = "CAST(coalesce(list_sum(list_transform(s[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT)"
+_SQL_DIGITS = "regexp_replace(value, '[^0-9]', '', 'g')"
+_SQL_LUHN = (
+    f"list_sum(list_transform(range(length({_SQL_DIGITS})), lambda k: CASE WHEN k % 2 = 0 THEN CAST(substr({_SQL_DIGITS}, CAST(length({_SQL_DIGITS}) - k AS INT), 1) AS INT) "
+    f"ELSE (2 * CAST(substr({_SQL_DIGITS}, CAST(length({_SQL_DIGITS}) - k AS INT), 1) AS INT)) // 10 + (2 * CAST(substr({_SQL_DIGITS}, CAST(length({_SQL_DIGITS}) - k AS INT), 1) AS INT)) % 10 END)) % 10 = 0"
+)
+#: The patterns as plain leftmost searches.
+_SQL_KINDS = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+    "ip": (r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", rf"regexp_full_match(value, '{_OCTET}(?:\.{_OCTET}){{3}}')"),
+    "card": (r"[0-9](?:[ -]?[0-9])+", f"length({_SQL_DIGITS}) BETWEEN 12 AND 19 AND {_SQL_LUHN}"),
+    "phone": (r"\+[0-9][ ().0-9-]+[0-9]", f"length({_SQL_DIGITS}) BETWEEN 9 AND 15"),
+}
+_SQL_FOUND = " UNION ALL ".join(f"SELECT doc_id, t, {rank} AS rank, '{kind}' AS kind, {_sql_places(p, 't')} FROM d" for rank, (kind, (p, _)) in enumerate(_SQL_KINDS.items()))
+_SQL_VALID = " OR ".join(f"(kind = '{kind}' AND {ok})" for kind, (_, ok) in _SQL_KINDS.items())
+_SQL_SIDE = " UNION ALL ".join(
+    f"SELECT doc_id, kind, value, start, stop, side0, {side} AS side, {at} AS off, {_sql_places(TERM, part)} FROM w"
+    for side, at, part in ((0, "from0", "lhs"), (1, "stop", "rhs"))
+)
+ORACLE = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+f AS ({_SQL_FOUND}),
+p AS (SELECT doc_id, t, rank, kind, m[i] AS value, {_SQL_START} AS start FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM f)),
+b AS (SELECT *, start + length(value) AS stop FROM p WHERE {_SQL_VALID}),
+w AS (SELECT doc_id, kind, lower(value) AS value, start, stop, greatest(start - {CONTEXT}, 0) AS from0, greatest(start - {CONTEXT}, 0) > 0 AS side0,
+  substr(t, CAST(greatest(start - {CONTEXT}, 0) + 1 AS INT), CAST(start - greatest(start - {CONTEXT}, 0) AS INT)) AS lhs, substr(t, CAST(stop + 1 AS INT), {CONTEXT}) AS rhs FROM b),
+x AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM ({_SQL_SIDE})),
+y AS (SELECT doc_id, kind, value, start, stop, side0, side, off, lower(m[i]) AS term, off + {_SQL_START} AS a, off + {_SQL_START} + length(m[i]) AS z, list_sum(list_transform(list_concat(m, s), lambda q: length(q))) AS size FROM x),
+n AS (SELECT * FROM y WHERE CASE WHEN side = 0 THEN NOT side0 OR a > off ELSE size < {CONTEXT} OR z < stop + {CONTEXT} END
+  AND NOT EXISTS (SELECT 1 FROM b WHERE b.doc_id = y.doc_id AND y.a < b.stop AND b.start < y.z)),
+c AS (SELECT doc_id, kind, value, start, string_agg(term, ' ' ORDER BY side, a) AS context FROM n GROUP BY ALL),
+e AS (SELECT kind, value, count(DISTINCT context) AS n_entity FROM c GROUP BY ALL HAVING count(DISTINCT context) >= {SUPPORT}),
+r AS (SELECT kind, value, term, count(DISTINCT context) AS n_pair FROM n JOIN c USING (doc_id, kind, value, start) GROUP BY ALL HAVING count(DISTINCT context) >= {SUPPORT}),
+k AS (SELECT term, count(*) AS n_corpus FROM (SELECT unnest(regexp_extract_all(lower(t), '{TERM}')) AS term FROM d) GROUP BY term),
+v AS (SELECT greatest(sum(n_corpus) / {2.0 * CONTEXT / 6}, 1.0) AS windows FROM k),
+g AS (SELECT kind, value, term, CASE WHEN log2(windows / least(n_entity, windows)) > 0
+  THEN least(log2(n_pair / n_entity / least(n_corpus / windows, 1.0)) / log2(windows / least(n_entity, windows)), 1.0) ELSE 0.0 END AS share FROM r JOIN e USING (kind, value) JOIN k USING (term), v),
+h AS (SELECT doc_id, a AS start, max(CASE WHEN share >= {REMOVE} THEN 5 ELSE 4 END) AS rank, any_value(z) AS stop FROM n JOIN g USING (kind, value, term) WHERE share >= {GENERALISE} GROUP BY doc_id, a),
+l AS (SELECT doc_id, start, rank, kind || ':' || start || ':' || stop AS span FROM b
+  UNION ALL SELECT doc_id, start, rank, CASE WHEN rank = 5 THEN 'gone' ELSE 'term' END || ':' || start || ':' || stop FROM h)
+SELECT d.doc_id, {", ".join(f"count(*) FILTER (WHERE rank = {rank}) AS n_{kind}" for rank, kind in enumerate(KINDS))},
+  sha256(coalesce(string_agg(span, ',' ORDER BY start, rank) FILTER (WHERE rank < 4), '')) AS base_sha256,
+  coalesce(string_agg(span, ',' ORDER BY start, rank), '') AS spans, count(*) FILTER (WHERE rank > 3) AS n_terms
+FROM d LEFT JOIN l USING (doc_id) GROUP BY d.doc_id
+"""

@@ -18,6 +18,7 @@ QUERIES: dict = {
 }
 ORACLES: dict[str, str] = {
     "op2_packing": packing.ORACLE,
+    "op3_pii": pii.ORACLE,
     "op6_warc": warc.ORACLE,
     "op7_lm_score": lm_score.ORACLE,
 }

@@ -91,3 +91,31 @@ def test_copies_of_one_page_are_one_context(spark):
 
 def test_empty_table(spark):
     assert pii.sanitise(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_query_matches_sql(spark, sf):
+    from kelpline.llm import registry
+    from tests.oracle import same
+
+    assert same(pii.query(spark, sf), registry.ORACLES["op3_pii"], sf) >= 200
+
+
+def test_terms_match_sql(spark, tmp_path):
+    import random
+
+    import duckdb
+
+    rng = random.Random(5)
+    vocabulary = [f"word{chr(97 + i)}{chr(97 + j)}" for i in range(12) for j in range(12)]
+    rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(60))) for i in range(200)]
+    for i in range(60):
+        who = i % 5
+        words = [rng.choice(vocabulary) for _ in range(30)]
+        words[12:12] = [f"Owner{'abcde'[who]}x", f"p{who}@mail.example.com", f"Team{'abcde'[who]}q" if i % 2 else "team"]
+        rows.append((500 + i, " ".join(words) + (" 10.0.0.1" if who == 0 else "")))
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(tuple(r) for r in pii.query(spark, str(tmp_path)).collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert got == sorted(con.execute(pii.ORACLE).fetchall())
+    assert sum(r[-1] for r in got) >= 60
