@@ -17,7 +17,8 @@ text return to their chunk, where a text's score is added up. Equal bigrams meet
 one bucket, but no bucket holds more than one word pair beyond its share: a pair
 that every text has is one more row for each of its mentions, spread over chunks.
 
-The word table is broadcast where a count shows at most WORDS words (12 bytes
+Words that come once are not in the word table: one that is missing there has
+count 1. The table is broadcast where a count shows at most WORDS words (12 bytes
 each). Beyond that ``joined_scores`` gives the same scores by joins alone, at the
 price of a row per bigram in two shuffles.
 
@@ -57,17 +58,17 @@ def _worded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def word_counts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int, int]:
-    """(table of word and n, all words, different words)."""
+    """(table of word and n, all words, different words that come more than once)."""
     counts = _worded(docs, id_col, text_col).select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     counts = written(counts, "words")
-    row = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    row = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 1)).first()
     return counts, row[0], row[1]
 
 
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, score, mean): one row per input row."""
-    counts, total, different = word_counts(docs, id_col, text_col)
-    if different > WORDS:
+    counts, total, repeated = word_counts(docs, id_col, text_col)
+    if repeated > WORDS:
         return joined_scores(docs, counts, total, id_col, text_col)
     return packed_scores(docs, counts, total, id_col, text_col)
 
@@ -106,10 +107,10 @@ def _runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
 
 def packed_scores(docs: DataFrame, counts: DataFrame, total: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     spark = docs.sparkSession
-    got = counts.toArrow()  # at most WORDS rows of 16 bytes
+    got = counts.where("n > 1").toArrow()  # at most WORDS rows of 16 bytes
     word, n = got.column("word").to_numpy().view(np.uint64), got.column("n").to_numpy()
     order = np.argsort(word)
-    values = np.unique(n)
+    values = np.unique(np.r_[1, n])
     code_type = np.uint16 if len(values) < 1 << 16 else np.uint32
     shared = spark.sparkContext.broadcast((word[order], np.searchsorted(values, n[order]).astype(code_type), values))
     buckets = max(BUCKETS, -(-total // BUCKET))
@@ -129,7 +130,10 @@ def packed_scores(docs: DataFrame, counts: DataFrame, total: int, id_col: str =
             nonlocal number, size
             sizes = np.array([len(x) for x in lists], dtype=np.int64)
             h = np.array([v for x in lists for v in x], dtype=np.uint64)
-            c = codes[np.searchsorted(keys, h)] if len(h) else np.array([], dtype=code_type)
+            c = np.zeros(len(h), dtype=code_type)  # the code of count 1
+            if len(keys):
+                place = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+                c = np.where(keys[place] == h, codes[place], c)
             text = np.repeat(np.arange(len(lists)), sizes)
             starts = np.cumsum(sizes) - sizes
             first = np.zeros(len(h), dtype=bool)
