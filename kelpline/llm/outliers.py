@@ -32,7 +32,7 @@ from .textstats import barrier, words
 MIN_WORDS, REPEAT_PERCENT = 50, 50
 H = 0.75
 STEPS = 3
-CUT = 0.999999
+CUT = 0.999
 MIN_GROUP = 60
 #: Standard deviations added to each axis, in the units of the transformed statistics.
 FLOOR = (0.35, 0.06, 0.5, 0.5, 0.12)

@@ -81,3 +81,19 @@ def test_distances_match_numpy(spark, sf):
         x = np.stack([np.log1p(stats[:, 0]), np.log(c / n), np.log1p(100 * stats[:, 2] / c), np.log1p(stats[:, 3]), np.arcsin(np.sqrt(stats[:, 4] / n))], 1)
         want = mcd(x)
         assert np.allclose([got[i].d2 for i in ids], want, rtol=1e-6)
+
+
+def test_planted_outliers_are_rejected_and_clean_texts_kept(spark):
+    """Texts with a symbol for every seventh to ninth character, among clean ones of two groups."""
+    rng = np.random.default_rng(4)
+    rows, planted = [], set()
+    for lang in ("en", "de"):
+        for k in range(150):
+            words = ["".join(rng.choice(list("abcdefghij"), rng.integers(3, 9))) for _ in range(rng.integers(80, 300))]
+            if k % 25 == 0:
+                planted.add(len(rows))
+                words = list("".join(c + "#" * (i % (7 + k // 25 % 3) == 0) for i, c in enumerate(" ".join(words))).split(" "))
+            rows.append((len(rows), " ".join(words), lang, "s", None, None, None))
+    got = o.assess(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert not any(r.base_failed for r in got)
+    assert {r.doc_id for r in got if not r.kept} == planted
