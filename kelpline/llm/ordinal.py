@@ -10,9 +10,10 @@ texts is mostly common words, and without them a short good text would be
 rejected for lack of evidence.
 
 Fitting takes at most SAMPLE labelled rows for each grade, those with the
-smallest hash of their id. That bound is a parameter; their features are made on
-the executors from whole texts, and the driver minimises the penalised likelihood
-with L-BFGS. Scoring maps over all rows; the model is a fixed-size array.
+smallest hash of their id. That bound is a parameter. Their features are made on
+the executors from whole texts and counted there; the driver gets the counts of at
+most 2^BITS features, then the rows with only the features that tell grades apart,
+and minimises the penalised likelihood with L-BFGS. Scoring maps over all rows; the model is a fixed-size array.
 
 Nulls and edges: a null or blank text has score 0 before thresholds. Labels
 without an id, without a document or with both ratings null are left out; of
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, written
 
 BITS = 18
 GRADES = 3
@@ -119,30 +120,36 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def _telling(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray) -> np.ndarray:
+def _seen(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray) -> np.ndarray:
+    """Texts with each feature, by grade."""
+    each = [[np.unique(i) for (i, _), y in zip(rows, grades, strict=True) if y == k] for k in range(GRADES)]
+    return np.stack([np.bincount(np.concatenate(e or [np.array([], dtype=int)]), minlength=1 << BITS) for e in each])
+
+
+def _telling(seen: np.ndarray, texts: np.ndarray) -> np.ndarray:
     """Features that come unevenly over the grades, and more with low ones.
 
-    The likelihood ratio of texts with the feature by grade tells the first. Features of good
-    texts are mostly common words; with them a short good text would lack evidence.
+    ``seen`` counts the texts with each feature by grade (one row each), ``texts`` all texts by grade.
+    The likelihood ratio of texts with the feature tells the first. Features of good texts are mostly
+    common words; with them a short good text would lack evidence.
     """
-    seen = np.stack(
-        [np.bincount(np.concatenate([np.unique(i) for (i, _), y in zip(rows, grades, strict=True) if y == k] or [np.array([], dtype=int)]), minlength=1 << BITS) for k in range(GRADES)]
-    ).astype(float)
-    expected = np.bincount(grades, minlength=GRADES)[:, None] / len(grades) * seen.sum(0)
+    seen, n = seen.astype(float), max(texts.sum(), 1)
+    expected = texts[:, None] / n * seen.sum(0)
     ratio = 2 * np.where(seen > 0, seen * np.log(np.where(seen > 0, seen, 1) / np.maximum(expected, 1e-12)), 0).sum(0)
     mean = (np.arange(GRADES) @ seen) / np.maximum(seen.sum(0), 1)
-    return (ratio >= TELLING) & (seen.sum(0) >= MIN_TEXTS) & (mean < grades.mean())
+    return (ratio >= TELLING) & (seen.sum(0) >= MIN_TEXTS) & (mean < np.arange(GRADES) @ texts / n)
 
 
-def fit_arrays(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, shares: np.ndarray | None = None) -> Model:
-    """Penalised maximum likelihood by L-BFGS; ``shares`` are the grades' shares of all ratings."""
+def fit_arrays(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, shares: np.ndarray | None = None, wanted: np.ndarray | None = None) -> Model:
+    """Penalised maximum likelihood by L-BFGS; ``shares`` are the grades' shares of all ratings, ``wanted`` marks the features."""
     prior = np.arange(1, GRADES) - GRADES / 2.0
     if not len(rows):
         return Model(np.zeros(1 << BITS, dtype=np.float32), prior - 10.0)
     size = np.array([len(i) for i, _ in rows])
     row = np.repeat(np.arange(len(rows)), size)
     flat, val = np.concatenate([i for i, _ in rows]), np.concatenate([v for _, v in rows]).astype(float)
-    wanted = _telling(rows, grades)
+    if wanted is None:
+        wanted = _telling(_seen(rows, grades), np.bincount(grades, minlength=GRADES))
     wanted[[_index(name) for name in FORMS]] = True
     for _ in range(PRUNING):
         model = _fit(row, flat, val, grades, shares, wanted, prior)
@@ -226,11 +233,26 @@ def _lbfgs(loss, x, memory: int = 8):
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        pairs = [vector(t.as_py()) for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([i.tobytes() for i, _ in pairs], pa.binary()), pa.array([v.tobytes() for _, v in pairs], pa.binary())],
-            names=["grade", "idx", "val"],
-        )
+        for k in range(0, batch.num_rows, 64):
+            some = batch.slice(k, 64)
+            pairs = [vector(t.as_py()) for t in some.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [some.column(0), pa.array([i for i, _ in pairs], pa.list_(pa.int32())), pa.array([v for _, v in pairs], pa.list_(pa.float32()))], names=["grade", "idx", "val"]
+            )
+
+
+def _wanted_only(wanted: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            idx, val = [], []
+            for i, v in zip(batch.column(1), batch.column(2), strict=True):
+                i, v = i.values.to_numpy(), v.values.to_numpy()
+                keep = wanted[i]
+                idx.append(i[keep].tobytes())
+                val.append(v[keep].tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(idx, pa.binary()), pa.array(val, pa.binary())], names=["grade", "idx", "val"])
+
+    return run
 
 
 def rated(labels: DataFrame, id_col: str = "doc_id", quality_col: str = "quality", toxic_col: str = "toxic") -> DataFrame:
@@ -247,8 +269,20 @@ def fit(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_col: st
         chosen = chosen.unionAll(p)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # at most GRADES * sample rows of 12 bytes
-    rows = texts.join(F.broadcast(chosen), "id").select("grade", "text").mapInArrow(_vectors, "grade int, idx binary, val binary")
-    got = rows.toArrow()
+    rows = texts.join(F.broadcast(chosen), "id").select("grade", "text").mapInArrow(_vectors, "grade int, idx array<int>, val array<float>")
+    rows = written(rows, "vectors")
+    n = np.zeros(GRADES, dtype=np.int64)
+    for k, count in rows.groupBy("grade").count().collect():
+        n[k] = count
+    # at most 2^BITS rows, whatever the texts hold
+    by_grade = [F.count_if(F.col("grade") == k).alias(f"n{k}") for k in range(GRADES)]
+    often = rows.select("grade", F.explode(F.array_distinct("idx")).alias("idx")).groupBy("idx").agg(*by_grade, F.count("*").alias("n")).where(F.col("n") >= MIN_TEXTS).toArrow()
+    seen = np.zeros((GRADES, 1 << BITS), dtype=np.int64)
+    for k in range(GRADES):
+        seen[k, often.column("idx").to_numpy()] = often.column(f"n{k}").to_numpy()
+    wanted = _telling(seen, n)
+    wanted[[_index(name) for name in FORMS]] = True
+    got = rows.mapInArrow(_wanted_only(wanted), "grade int, idx binary, val binary").toArrow()
     vectors = [
         (np.frombuffer(i.as_py(), dtype=np.int32), np.frombuffer(v.as_py(), dtype=np.float32))
         for i, v in zip(got.column("idx"), got.column("val"), strict=True)
@@ -257,7 +291,7 @@ def fit(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_col: st
     rated_rows = dict(grades.groupBy("grade").count().collect())
     shares = np.array([rated_rows.get(k, 0) for k in range(GRADES)], dtype=float)
     y = np.array([got.column("grade")[k].as_py() for k in order], dtype=int)
-    return fit_arrays([vectors[k] for k in order], y, shares / max(shares.sum(), 1.0))
+    return fit_arrays([vectors[k] for k in order], y, shares / max(shares.sum(), 1.0), wanted)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

@@ -67,3 +67,46 @@ def test_gradient():
     y = np.array([0 if 3 in i else 1 if 7 in i else 2 for i, _ in rows])
     m = o.fit_arrays(rows, y)
     assert m.weights[3] < 0 and m.weights[7] < 0 and m.weights[3] < m.weights[7]
+
+
+def test_fit_equals_a_fit_of_all_vectors_at_once(spark):
+    """The distributed counts and the rows cut to telling features lose nothing."""
+    docs, labels = corpus(200)
+    frame = spark.createDataFrame(docs, DOCS)
+    got = o.fit(frame, o.rated(spark.createDataFrame(labels, LABELS)))
+    grades = [0 if t else 1 if not q else 2 for _, q, t, _ in labels]
+    order = sorted(range(len(docs)), key=lambda k: grades[k])
+    shares = np.bincount(grades, minlength=3) / len(grades)
+    want = o.fit_arrays([o.vector(docs[k][1]) for k in order], np.array([grades[k] for k in order]), shares)
+    assert (got.weights != 0).sum() == (want.weights != 0).sum() > 0
+    assert np.allclose(got.weights, want.weights, rtol=0.02, atol=0.05) and np.allclose(got.thresholds, want.thresholds, atol=0.05)
+
+
+def test_likelihood_is_at_its_minimum():
+    """The fit against a plain likelihood, looped over rows, and steps around the solution."""
+    rng = np.random.default_rng(5)
+    rows = [(np.array([0, 1], dtype=np.int32)[: 1 + int(k % 2)], np.ones(1 + k % 2, dtype=np.float32)) for k in range(60)]
+    y = np.array([int(rng.random() < (0.8 if k % 2 == 0 else 0.2)) * 2 for k in range(60)])
+    y[::7] = 1
+    wanted = np.zeros(1 << o.BITS, dtype=bool)
+    wanted[[0, 1]] = True
+    idx = np.concatenate([i for i, _ in rows])
+    row = np.repeat(np.arange(60), [len(i) for i, _ in rows])
+    prior = np.arange(1, o.GRADES) - o.GRADES / 2.0
+    m = o._fit(row, idx, np.ones(len(idx)), y, None, wanted, prior)
+
+    def cost(w0, w1, cut):
+        total = 0.0
+        for (i, _), g in zip(rows, y, strict=True):
+            s = w0 + w1 * (1 in i)
+            upper = 1.0 if g == 2 else 1 / (1 + np.exp(s - cut[g]))
+            lower = 0.0 if g == 0 else 1 / (1 + np.exp(s - cut[g - 1]))
+            total -= np.log(upper - lower) / len(rows)
+        w = np.array([w0, w1]) / o.STRETCH
+        return total + o.SHRINK / 2 * (w @ w) + o.PENALTY / 2 * ((cut - prior) @ (cut - prior))
+
+    w0, w1, cut = float(m.weights[0]), float(m.weights[1]), m.thresholds
+    least = cost(w0, w1, cut)
+    for step in (-0.05, 0.05):
+        assert cost(w0 + step, w1, cut) > least - 1e-6 and cost(w0, w1 + step, cut) > least - 1e-6
+        assert cost(w0, w1, cut + [step, 0]) > least - 1e-6 and cost(w0, w1, cut + [0, step]) > least - 1e-6
