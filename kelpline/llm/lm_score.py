@@ -1,31 +1,32 @@
 """Stupid-backoff language-model scores from n-gram count tables partitioned by hash.
 
-Words are lower-case runs of non-space. With c the counts over all texts, and
-bigrams seen fewer than MIN_COUNT times pruned,
-
-    S(b | a) = c(a b) / c(a)        if c(a b) >= MIN_COUNT
-             = ALPHA * c(b) / total  otherwise
-
-and the first word of a text scores c(a) / total. Logarithms are summed per text.
-
-The bigrams of a text are far more rows than anything else, so they travel as
-blobs: a task packs the bigrams of CHUNK words by bucket of their hash, each as 48
-hash bits, the codes of its words' counts and the number of its text (12 bytes).
-A bucket (about BUCKET bigrams of the whole corpus, so there are as many buckets as
-the corpus needs) is counted and joined back to its bigrams by sorting; its sums by
-text return to their chunk, where a text's score is added up. Equal bigrams meet in
-one bucket, but no bucket holds more than one word pair beyond its share: a pair
-that every text has is one more row for each of its mentions, spread over chunks.
-
-Words that come once are not in the word table: one that is missing there has
-count 1. The table is broadcast where a count shows at most WORDS words (12 bytes
-each). Beyond that ``joined_scores`` gives the same scores by joins alone, at the
-price of a row per bigram in two shuffles.
+Words are lower-case runs of non-space. With c the counts over all texts, an n-gram
+g of k words ending in w, its context g' (without w) and its tail g" (without its
+first word),
+
+    S(g) = c(g) / c(g')       if c(g) >= MIN_COUNT
+         = ALPHA * S(g")       otherwise
+    S(w) = c(w) / all words
+
+for k up to ORDER; the first words of a text have shorter contexts. Logarithms are
+summed per text. MIN_COUNT 1 uses all counts; texts scored by counts of other texts,
+or with a larger MIN_COUNT, back off.
+
+The n-grams of all texts are far more rows than anything else, so they travel in
+packed rows. A task takes CHUNK words of whole texts and sums up each different n-gram
+of the chunk (the exploded side, combined before it shuffles); the table (hash, count)
+is cut by hash into buckets, of which there are as many as BUCKET words of the corpus
+give. A bucket adds up its n-grams over all chunks (the count table) and answers each
+chunk with its totals in the order that they came (the join), and the chunk sums the
+logarithms of its texts. An n-gram that every text has is one entry of each chunk, so
+no bucket is hotter than the rest; nothing is broadcast or sent to the driver but the
+number of words.
 
 Edges: a null or blank text has no words, score 0 and a null mean. Repeated rows
-count in the tables as often as they come and each gets its score. Hashes are
-XXH64 of words and a 64-bit mix for pairs, of which a bucket keeps 48 bits: of
-10^8 different pairs about one meets another. Other columns are ignored.
+count in the tables as often as they come and each gets its score. N-grams are known
+by a 64-bit mix of their words' XXH64, of which a bucket keeps 40 bits besides its
+number: of a million different ones about one meets another, whatever the size of
+the corpus. Other columns are ignored. A text is held whole, at about 60 bytes a word.
 """
 
 from __future__ import annotations
@@ -39,42 +40,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, written
-from .textstats import SPACE, barrier
+from .common import table
+from .textstats import words
 
 ALPHA = 0.4
-MIN_COUNT = 2
-WORDS = 4_000_000
-CHUNK, BUCKET, BUCKETS = 1 << 20, 1 << 20, 64
-#: Words whose hashes a worker remembers.
-REMEMBERED = 500_000
-_LOW = np.uint64((1 << 48) - 1)
-
-
-def _worded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    words = F.filter(F.split(F.lower(text), SPACE), lambda w: w != "")
-    return barrier(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("doc_hash"), F.transform(words, lambda w: F.xxhash64(w)).alias("words")))
-
-
-def word_counts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int, int]:
-    """(table of word and n, all words, different words that come more than once)."""
-    counts = _worded(docs, id_col, text_col).select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    counts = written(counts, "words")
-    row = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 1)).first()
-    return counts, row[0], row[1]
-
-
-def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_words, score, mean): one row per input row."""
-    counts, total, repeated = word_counts(docs, id_col, text_col)
-    if repeated > WORDS:
-        return joined_scores(docs, counts, total, id_col, text_col)
-    return packed_scores(docs, counts, total, id_col, text_col)
+ORDER, MIN_COUNT = 3, 1
+CHUNK, BUCKET, BUCKETS = 1 << 19, 1 << 20, 64
+#: Texts of a chunk; words whose hashes a worker remembers.
+TEXTS, REMEMBERED = 60_000, 500_000
 
 
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """64 well-mixed bits of a pair of word hashes."""
+    """64 well-mixed bits of a pair of hashes."""
     with np.errstate(over="ignore"):
         x = a * np.uint64(0x9E3779B97F4A7C15) + (b ^ (b >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
@@ -82,14 +59,37 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(32))
 
 
-_PACKED = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("ids", pa.binary()), ("nulls", pa.binary()), ("sizes", pa.binary()), ("base", pa.binary()), ("text", pa.binary()), ("gram", pa.binary()), ("a", pa.binary()), ("b", pa.binary())])
-_PACKED_DDL = "bucket int, chunk bigint, ids binary, nulls binary, sizes binary, base binary, text binary, gram binary, a binary, b binary"
-_SUMS = pa.schema([("chunk", pa.int64()), ("ids", pa.binary()), ("nulls", pa.binary()), ("sizes", pa.binary()), ("base", pa.binary()), ("text", pa.binary()), ("sum", pa.binary())])
-_SUMS_DDL = "chunk bigint, ids binary, nulls binary, sizes binary, base binary, text binary, sum binary"
+def _grams(h: np.ndarray, sizes: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For k = 1 .. order: the positions at which an n-gram of k words ends, and their hashes."""
+    place = np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    at, found = np.arange(len(h)), h
+    full = h.copy()
+    for k in range(1, order + 1):
+        yield at, found
+        at = np.flatnonzero(place >= k)
+        found = _mix(full[at - 1], h[at])
+        full[at] = found
 
 
-def _rows(schema: pa.Schema, rows: list[dict]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in rows], f.type) for f in schema], schema=schema)
+def _small(n: np.ndarray) -> np.ndarray:
+    """Counts in the smallest unsigned integers that hold them."""
+    return n.astype(np.min_scalar_type(int(n.max()))) if len(n) else n.astype(np.uint8)
+
+
+def _counts(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, dtype=f"u{len(data) // n}") if n else np.array([], dtype=np.uint8)
+
+
+#: own rows have ids, nulls, sizes, words and seq; the others k, start, keys (on the way to a bucket) and n.
+_SCHEMA = pa.schema(
+    [("bucket", pa.int32()), ("chunk", pa.int64()), ("ids", pa.binary()), ("nulls", pa.binary()), ("sizes", pa.binary()), ("words", pa.binary()), ("low", pa.binary()), ("high", pa.binary())]
+    + [("k", pa.int32()), ("start", pa.int64()), ("size", pa.int64()), ("keys", pa.binary()), ("n", pa.binary())]
+)
+_DDL = "bucket int, chunk bigint, ids binary, nulls binary, sizes binary, words binary, low binary, high binary, k int, start bigint, size bigint, keys binary, n binary"
+
+
+def _rows(rows: list[dict]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in rows], f.type) for f in _SCHEMA], schema=_SCHEMA)
 
 
 def _runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
@@ -105,61 +105,86 @@ def _runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
         yield held
 
 
-def packed_scores(docs: DataFrame, counts: DataFrame, total: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    spark = docs.sparkSession
-    got = counts.where("n > 1").toArrow()  # at most WORDS rows of 16 bytes
-    word, n = got.column("word").to_numpy().view(np.uint64), got.column("n").to_numpy()
-    order = np.argsort(word)
-    values = np.unique(np.r_[1, n])
-    code_type = np.uint16 if len(values) < 1 << 16 else np.uint32
-    shared = spark.sparkContext.broadcast((word[order], np.searchsorted(values, n[order]).astype(code_type), values))
-    buckets = max(BUCKETS, -(-total // BUCKET))
-    log_total, log_alpha = float(np.log(max(total, 1))), float(np.log(ALPHA))
+def _packed(chunk: int, ids: list, lists: list[list[int]], buckets: int, order: int) -> pa.RecordBatch:
+    """A chunk's own row, and its n-grams by bucket."""
+    sizes = np.array([len(x) for x in lists], dtype=np.int64)
+    h = np.array([v for x in lists for v in x], dtype=np.uint64)
+    different, place, times = np.unique(h, return_inverse=True, return_counts=True)
+    often = np.argsort(-times, kind="stable")  # frequent words get small numbers
+    number = np.empty(len(often), dtype=np.uint32)
+    number[often] = np.arange(len(often), dtype=np.uint32)
+    seq = number[place]
+    own = {"ids": np.array([x or 0 for x in ids], dtype=np.int64), "nulls": np.array([x is None for x in ids]), "sizes": sizes}
+    own |= {"words": different[often], "low": (seq & np.uint32(0xFFFF)).astype(np.uint16), "high": (seq >> np.uint32(16)).astype(np.uint16)}
+    rows = [{"bucket": chunk % buckets, "chunk": chunk} | {name: x.tobytes() for name, x in own.items()}]
+    for k, (_, found) in enumerate(_grams(h, sizes, order), 1):
+        keys, times = (different, times) if k == 1 else np.unique(found, return_counts=True)
+        if not len(keys):
+            continue
+        bucket = ((keys >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int64)
+        edges = np.flatnonzero(np.r_[True, np.diff(bucket) != 0, True])
+        low = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+            rows.append({"bucket": int(bucket[lo]), "chunk": chunk, "k": k, "start": int(lo), "size": int(hi - lo), "keys": low[lo:hi].tobytes(), "n": _small(times[lo:hi]).tobytes()})
+    return _rows(rows)
+
+
+def _totals(parts: list[dict]) -> Iterator[pa.RecordBatch]:
+    """A bucket's n-grams of one length, added up over all chunks; an answer to each."""
+    sizes = [r["size"] for r in parts]
+    keys = np.zeros((sum(sizes), 8), dtype=np.uint8)
+    keys[:, :5] = np.concatenate([np.frombuffer(r["keys"], dtype=np.uint8) for r in parts]).reshape(-1, 5)
+    different, place = np.unique(keys.view("<u8").ravel(), return_inverse=True)
+    n = np.concatenate([_counts(r["n"], r["size"]).astype(np.int64) for r in parts])
+    total = np.zeros(len(different), dtype=np.int64)
+    np.add.at(total, place, n)
+    total, at, out = total[place], 0, []
+    for r, size in zip(parts, sizes, strict=True):
+        out.append({"chunk": r["chunk"], "k": r["k"], "start": r["start"], "size": size, "n": _small(total[at : at + size]).tobytes()})
+        at += size
+    yield _rows(out)
+
+
+def _scored(run: list[dict], order: int, min_count: int, log_total: float) -> pa.RecordBatch:
+    """The texts of a chunk with their scores."""
+    own = next(r for r in run if r["ids"] is not None)
+    sizes = np.frombuffer(own["sizes"], dtype=np.int64)
+    seq = np.frombuffer(own["low"], dtype=np.uint16).astype(np.uint32) | np.frombuffer(own["high"], dtype=np.uint16).astype(np.uint32) << np.uint32(16)
+    h = np.frombuffer(own["words"], dtype=np.uint64)[seq]
+    value, before = np.zeros(len(h)), np.zeros(len(h))
+    for k, (at, found) in enumerate(_grams(h, sizes, order), 1):
+        different, place = np.unique(found, return_inverse=True)
+        total = np.zeros(len(different), dtype=np.int64)
+        for r in run:
+            if r["k"] == k:
+                total[r["start"] : r["start"] + r["size"]] = _counts(r["n"], r["size"])
+        n = total[place]
+        logs = np.log(np.maximum(n, 1))
+        if k == 1:
+            value = logs - log_total
+        else:
+            value[at] = np.where(n >= min_count, logs - before[at - 1], np.log(ALPHA) + value[at])
+        before = np.zeros(len(h))
+        before[at] = logs
+    score = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=value, minlength=len(sizes)).astype(float)
+    ids = pa.array(np.frombuffer(own["ids"], dtype=np.int64), mask=np.frombuffer(own["nulls"], dtype=bool))
+    mean = pa.array(score / np.maximum(sizes, 1), mask=sizes == 0)
+    return pa.RecordBatch.from_arrays([ids, pa.array(sizes), pa.array(score), mean], names=["doc_id", "n_words", "score", "mean"])
+
+
+def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, min_count: int = MIN_COUNT) -> DataFrame:
+    """(doc_id, n_words, score, mean): one row per input row."""
+    total = docs.agg(F.coalesce(F.sum(F.size(words(F.col(text_col)))), F.lit(0))).first()[0]
+    buckets = min(max(BUCKETS, -(-total // BUCKET)), 1 << 24)
+    log_total = float(np.log(max(total, 1)))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, codes, values = shared.value
-        logs = np.log(values)
         known: dict[bytes, int] = {}
         digest = xxhash.xxh64_intdigest
-        part, number = TaskContext.get().partitionId(), 0
+        chunk = TaskContext.get().partitionId() << 32
         ids: list = []
         lists: list[list[int]] = []
         size = 0
-
-        def flush() -> pa.RecordBatch:
-            nonlocal number, size
-            sizes = np.array([len(x) for x in lists], dtype=np.int64)
-            h = np.array([v for x in lists for v in x], dtype=np.uint64)
-            c = np.zeros(len(h), dtype=code_type)  # the code of count 1
-            if len(keys):
-                place = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-                c = np.where(keys[place] == h, codes[place], c)
-            text = np.repeat(np.arange(len(lists)), sizes)
-            starts = np.cumsum(sizes) - sizes
-            first = np.zeros(len(h), dtype=bool)
-            first[starts[sizes > 0]] = True
-            each = logs[c] - log_total + np.where(first, 0.0, log_alpha)
-            base = np.bincount(text, weights=each, minlength=len(lists))
-            second = np.flatnonzero(~first)
-            gram = _mix(h[second - 1], h[second])
-            bucket = ((gram >> np.uint64(48)).astype(np.int64) * buckets) >> 16 if buckets <= 1 << 16 else (gram >> np.uint64(16)).astype(np.int64) % buckets
-            by = np.argsort(bucket, kind="stable")
-            edges = np.flatnonzero(np.r_[True, np.diff(bucket[by]) != 0, True]) if len(by) else np.array([0])
-            chunk = (part << 32) | number
-            low = (gram & _LOW).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-            rows = [
-                {"bucket": chunk % buckets, "chunk": chunk, "ids": np.array([x or 0 for x in ids], dtype=np.int64).tobytes(), "nulls": np.array([x is None for x in ids]).tobytes(), "sizes": sizes.tobytes(), "base": base.tobytes()}
-            ]
-            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-                at = by[lo:hi]
-                rows.append(
-                    {"bucket": int(bucket[at[0]]), "chunk": chunk, "text": text[second[at]].astype(np.uint16).tobytes(), "gram": low[at].tobytes(), "a": c[second[at] - 1].tobytes(), "b": c[second[at]].tobytes()}
-                )
-            ids.clear()
-            lists.clear()
-            number, size = number + 1, 0
-            return _rows(_PACKED, rows)
-
         for batch in batches:
             for doc, raw in zip(batch.column(0), batch.column(1), strict=True):
                 hashes = []
@@ -173,100 +198,48 @@ def packed_scores(docs: DataFrame, counts: DataFrame, total: int, id_col: str =
                 ids.append(doc.as_py())
                 lists.append(hashes)
                 size += len(hashes)
-                if size >= CHUNK or len(lists) >= 60_000:
-                    yield flush()
+                if size >= CHUNK or len(lists) >= TEXTS:
+                    yield _packed(chunk, ids, lists, buckets, order)
+                    ids, lists, size, chunk = [], [], 0, chunk + 1
         if lists:
-            yield flush()
+            yield _packed(chunk, ids, lists, buckets, order)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, _, values = shared.value
-        logs = np.log(values)
         for run in _runs(batches, "bucket"):
-            own = [r for r in run if r["gram"] is None]
-            if own:
-                yield _rows(_SUMS, own)
-            parts = [r for r in run if r["gram"] is not None]
-            if not parts:
-                continue
-            text = [np.frombuffer(r["text"], dtype=np.uint16) for r in parts]
-            gram = np.zeros((sum(map(len, text)), 8), dtype=np.uint8)
-            gram[:, :6] = np.concatenate([np.frombuffer(r["gram"], dtype=np.uint8) for r in parts]).reshape(-1, 6)
-            _, place, times = np.unique(gram.view("<u8").ravel(), return_inverse=True, return_counts=True)
-            a, b = (np.concatenate([np.frombuffer(r[k], dtype=code_type) for r in parts]) for k in ("a", "b"))
-            seen = times[place] >= MIN_COUNT
-            gain = np.where(seen, np.log(times[place]) - logs[a] - (log_alpha + logs[b] - log_total), 0.0)
-            at = 0
-            for r, t in zip(parts, text, strict=True):
-                mine = seen[at : at + len(t)]
-                if mine.any():
-                    which, back = np.unique(t[mine], return_inverse=True)
-                    sums = np.bincount(back, weights=gain[at : at + len(t)][mine])
-                    yield _rows(_SUMS, [{"chunk": r["chunk"], "text": which.tobytes(), "sum": sums.tobytes()}])
-                at += len(t)
+            if own := [r for r in run if r["ids"] is not None]:
+                yield _rows(own)
+            for k in range(1, order + 1):
+                if parts := [r for r in run if r["k"] == k]:
+                    yield from _totals(parts)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in _runs(batches, "chunk"):
-            own = next(r for r in run if r["ids"] is not None)
-            score = np.frombuffer(own["base"]).copy()
-            for r in run:
-                if r["sum"] is not None:
-                    score[np.frombuffer(r["text"], dtype=np.uint16)] += np.frombuffer(r["sum"])
-            sizes = np.frombuffer(own["sizes"], dtype=np.int64)
-            gone = np.frombuffer(own["nulls"], dtype=bool)
-            mean = pa.array(score / np.maximum(sizes, 1), mask=sizes == 0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.frombuffer(own["ids"], dtype=np.int64), mask=gone), pa.array(sizes), pa.array(score), mean], names=["doc_id", "n_words", "score", "mean"]
-            )
+            yield _scored(run, order, min_count, log_total)
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).cast("binary").alias("text"))
-    packed = texts.mapInArrow(pack, _PACKED_DDL).repartition("bucket").sortWithinPartitions("bucket")
-    sums = packed.mapInArrow(count, _SUMS_DDL).repartition("chunk").sortWithinPartitions("chunk")
+    packed = texts.mapInArrow(pack, _DDL).repartition("bucket").sortWithinPartitions("bucket")
+    answers = packed.mapInArrow(count, _DDL).drop("bucket", "keys")
+    sums = answers.withColumns({"bucket": F.lit(0), "keys": F.lit(None).cast("binary")}).select(*[f.name for f in _SCHEMA]).repartition("chunk").sortWithinPartitions("chunk")
     return sums.mapInArrow(add, "doc_id bigint, n_words bigint, score double, mean double")
 
 
-def joined_scores(docs: DataFrame, singles: DataFrame, total: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The same by joins of exploded bigrams to the count tables, without any broadcast of words."""
-    worded = _worded(docs, id_col, text_col)
-    n = F.size("words")
-    pairs = F.arrays_zip(F.slice("words", 1, F.greatest(n - 1, F.lit(0))).alias("a"), F.slice("words", 2, F.greatest(n - 1, F.lit(0))).alias("b"))
-    exploded = worded.where(n > 1).select("doc_id", "doc_hash", F.explode(pairs).alias("p")).select("doc_id", "doc_hash", "p.a", "p.b", F.xxhash64("p.a", "p.b").alias("gram"))
-    known = exploded.groupBy("gram").agg(F.count("*").alias("n_gram")).where(F.col("n_gram") >= MIN_COUNT)
-    looked = exploded.join(known, "gram", "left")
-    seen = F.col("n_gram").isNotNull()
-    needs = looked.select(
-        "doc_id", "doc_hash",
-        F.when(seen, F.col("a")).otherwise(F.col("b")).alias("word"),
-        F.when(seen, F.log("n_gram")).otherwise(F.lit(0.0)).alias("base"),
-        F.when(seen, F.lit(-1)).otherwise(F.lit(1)).alias("sign"),
-    )
-    firsts = worded.where(n > 0).select("doc_id", "doc_hash", F.col("words")[0].alias("word"), F.lit(0.0).alias("base"), F.lit(0).alias("sign"))
-    parts = needs.unionAll(firsts).join(singles, "word")
-    log_total = F.log(F.lit(float(max(total, 1))))
-    value = F.when(F.col("sign") < 0, F.col("base") - F.log("n")).when(F.col("sign") > 0, F.log(F.lit(ALPHA)) + F.log("n") - log_total).otherwise(F.log("n") - log_total)
-    # equal rows have equal sums; each carries its share of those of its copies
-    sums = parts.groupBy("doc_id", "doc_hash").agg(F.sum(value).alias("sum"))
-    sums = sums.withColumnsRenamed({"doc_id": "__d", "doc_hash": "__h"})
-    sized = worded.select("doc_id", "doc_hash", n.cast("long").alias("n_words"))
-    copies = sized.groupBy("doc_id", "doc_hash").agg(F.count("*").alias("copies"), F.max("n_words").alias("n_words"))
-    joined = copies.join(sums, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("doc_hash") == F.col("__h")), "left")
-    score = F.coalesce(F.col("sum") / F.col("copies"), F.lit(0.0))
-    each = joined.withColumn("score", score).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return each.select("doc_id", "n_words", "score", (F.col("score") / F.nullif(F.col("n_words"), F.lit(0))).alias("mean"))
-
-
 def query(spark, sf_dir: str) -> DataFrame:
     return scores(table(spark, sf_dir, "documents")).select("doc_id", "n_words", F.round("score", 4).alias("score"), F.round("mean", 6).alias("mean"))
 
 
 ORACLE = f"""
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words FROM documents),
-t AS (SELECT doc_id, unnest(words) AS b, unnest(range(len(words))) AS i, unnest(list_prepend(NULL, words[:-2])) AS a FROM d WHERE len(words) > 0),
-u AS (SELECT b AS w, count(*) AS n FROM t GROUP BY b),
-g AS (SELECT a, b, count(*) AS n FROM t WHERE i > 0 GROUP BY a, b HAVING count(*) >= {MIN_COUNT}),
-z AS (SELECT sum(n) AS total FROM u),
-s AS (SELECT t.doc_id, sum(CASE WHEN t.i = 0 THEN ln(ub.n) - ln(total) WHEN g.n IS NOT NULL THEN ln(g.n) - ln(ua.n)
-                                ELSE ln({ALPHA}) + ln(ub.n) - ln(total) END) AS score
-      FROM t CROSS JOIN z JOIN u ub ON ub.w = t.b LEFT JOIN u ua ON ua.w = t.a LEFT JOIN g ON g.a = t.a AND g.b = t.b GROUP BY t.doc_id)
+t AS (SELECT doc_id, unnest(words) AS w, unnest(range(len(words))) AS i, unnest(list_prepend(NULL, words[:-2])) AS v, unnest(list_concat([NULL, NULL], words[:-3])[:len(words)]) AS u FROM d WHERE len(words) > 0),
+c1 AS (SELECT w, count(*) AS n FROM t GROUP BY w),
+c2 AS (SELECT v, w, count(*) AS n FROM t WHERE i > 0 GROUP BY v, w),
+c3 AS (SELECT u, v, w, count(*) AS n FROM t WHERE i > 1 GROUP BY u, v, w),
+z AS (SELECT sum(n) AS total FROM c1),
+s AS (SELECT t.doc_id, sum(CASE
+        WHEN i > 1 AND c3.n >= {MIN_COUNT} THEN ln(c3.n) - ln(b2.n)
+        WHEN i > 0 AND c2.n >= {MIN_COUNT} THEN (i > 1)::INT * ln({ALPHA}) + ln(c2.n) - ln(b1.n)
+        ELSE least(i, 2) * ln({ALPHA}) + ln(c1.n) - ln(total) END) AS score
+      FROM t CROSS JOIN z JOIN c1 USING (w) LEFT JOIN c1 b1 ON b1.w = t.v LEFT JOIN c2 ON c2.v = t.v AND c2.w = t.w
+      LEFT JOIN c2 b2 ON b2.v = t.u AND b2.w = t.v LEFT JOIN c3 ON c3.u = t.u AND c3.v = t.v AND c3.w = t.w GROUP BY t.doc_id)
 SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, round(coalesce(score, 0), 4) AS score, round(score / len(words), 6) AS mean
 FROM d LEFT JOIN s USING (doc_id)
 """
