@@ -24,7 +24,7 @@ number of words.
 
 Edges: a null or blank text has no words, score 0 and a null mean. Repeated rows
 count in the tables as often as they come and each gets its score. N-grams are known
-by a 64-bit mix of their words' XXH64, of which a bucket keeps 40 bits besides its
+by a 64-bit mix of their words' XXH64, of which a bucket keeps KEPT bits besides its
 number: of a million different ones about one meets another, whatever the size of
 the corpus. Other columns are ignored. A text is held whole, at about 60 bytes a word.
 """
@@ -46,6 +46,8 @@ from .textstats import words
 ALPHA = 0.4
 ORDER, MIN_COUNT = 3, 1
 CHUNK, BUCKET, BUCKETS = 1 << 19, 1 << 20, 64
+#: Bits that a bucket keeps of a hash.
+KEPT = 40
 #: Texts of a chunk; words whose hashes a worker remembers.
 TEXTS, REMEMBERED = 60_000, 500_000
 
@@ -71,21 +73,28 @@ def _grams(h: np.ndarray, sizes: np.ndarray, order: int) -> Iterator[tuple[np.nd
         full[at] = found
 
 
-def _small(n: np.ndarray) -> np.ndarray:
-    """Counts in the smallest unsigned integers that hold them."""
-    return n.astype(np.min_scalar_type(int(n.max()))) if len(n) else n.astype(np.uint8)
+def _pressed(x: np.ndarray) -> bytes:
+    """Unsigned integers in as few bytes each as hold them, byte by byte, compressed."""
+    if not len(x):
+        return b""
+    x = x.astype(np.min_scalar_type(int(x.max())))
+    return bytes([x.itemsize]) + pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T), codec="zstd", asbytes=True)
 
 
-def _counts(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(data, dtype=f"u{len(data) // n}") if n else np.array([], dtype=np.uint8)
+def _unpressed(data: bytes, n: int) -> np.ndarray:
+    if not n:
+        return np.array([], dtype=np.int64)
+    raw = pa.decompress(data[1:], decompressed_size=n * data[0], codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(data[0], n).T).view(f"u{data[0]}").ravel().astype(np.int64)
 
 
-#: own rows have ids, nulls, sizes, words and seq; the others k, start, keys (on the way to a bucket) and n.
+#: own rows have ids, nulls, sizes, words and seq; the others k, start, size, first and keys (steps between
+#: the sorted hashes, on the way to a bucket) and n.
 _SCHEMA = pa.schema(
-    [("bucket", pa.int32()), ("chunk", pa.int64()), ("ids", pa.binary()), ("nulls", pa.binary()), ("sizes", pa.binary()), ("words", pa.binary()), ("low", pa.binary()), ("high", pa.binary())]
-    + [("k", pa.int32()), ("start", pa.int64()), ("size", pa.int64()), ("keys", pa.binary()), ("n", pa.binary())]
+    [("bucket", pa.int32()), ("chunk", pa.int64()), ("ids", pa.binary()), ("nulls", pa.binary()), ("sizes", pa.binary()), ("words", pa.binary()), ("seq", pa.binary())]
+    + [("k", pa.int32()), ("start", pa.int64()), ("size", pa.int64()), ("first", pa.int64()), ("keys", pa.binary()), ("n", pa.binary())]
 )
-_DDL = "bucket int, chunk bigint, ids binary, nulls binary, sizes binary, words binary, low binary, high binary, k int, start bigint, size bigint, keys binary, n binary"
+_DDL = "bucket int, chunk bigint, ids binary, nulls binary, sizes binary, words binary, seq binary, k int, start bigint, size bigint, first bigint, keys binary, n binary"
 
 
 def _rows(rows: list[dict]) -> pa.RecordBatch:
@@ -113,34 +122,33 @@ def _packed(chunk: int, ids: list, lists: list[list[int]], buckets: int, order:
     often = np.argsort(-times, kind="stable")  # frequent words get small numbers
     number = np.empty(len(often), dtype=np.uint32)
     number[often] = np.arange(len(often), dtype=np.uint32)
-    seq = number[place]
-    own = {"ids": np.array([x or 0 for x in ids], dtype=np.int64), "nulls": np.array([x is None for x in ids]), "sizes": sizes}
-    own |= {"words": different[often], "low": (seq & np.uint32(0xFFFF)).astype(np.uint16), "high": (seq >> np.uint32(16)).astype(np.uint16)}
-    rows = [{"bucket": chunk % buckets, "chunk": chunk} | {name: x.tobytes() for name, x in own.items()}]
+    own = {"ids": np.array([x or 0 for x in ids], dtype=np.int64).tobytes(), "nulls": np.array([x is None for x in ids]).tobytes(), "sizes": sizes.tobytes()}
+    rows = [{"bucket": chunk % buckets, "chunk": chunk} | own | {"words": different[often].tobytes(), "seq": _pressed(number[place])}]
+    shift = np.uint64(64 - KEPT - (buckets - 1).bit_length())
     for k, (_, found) in enumerate(_grams(h, sizes, order), 1):
         keys, times = (different, times) if k == 1 else np.unique(found, return_counts=True)
         if not len(keys):
             continue
         bucket = ((keys >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int64)
         edges = np.flatnonzero(np.r_[True, np.diff(bucket) != 0, True])
-        low = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+        kept = keys >> shift
         for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-            rows.append({"bucket": int(bucket[lo]), "chunk": chunk, "k": k, "start": int(lo), "size": int(hi - lo), "keys": low[lo:hi].tobytes(), "n": _small(times[lo:hi]).tobytes()})
+            about = {"bucket": int(bucket[lo]), "chunk": chunk, "k": k, "start": int(lo), "size": int(hi - lo), "first": int(kept[lo : lo + 1].view(np.int64)[0])}
+            rows.append(about | {"keys": _pressed(np.diff(kept[lo:hi], prepend=kept[lo])), "n": _pressed(times[lo:hi])})
     return _rows(rows)
 
 
 def _totals(parts: list[dict]) -> Iterator[pa.RecordBatch]:
     """A bucket's n-grams of one length, added up over all chunks; an answer to each."""
     sizes = [r["size"] for r in parts]
-    keys = np.zeros((sum(sizes), 8), dtype=np.uint8)
-    keys[:, :5] = np.concatenate([np.frombuffer(r["keys"], dtype=np.uint8) for r in parts]).reshape(-1, 5)
-    different, place = np.unique(keys.view("<u8").ravel(), return_inverse=True)
-    n = np.concatenate([_counts(r["n"], r["size"]).astype(np.int64) for r in parts])
+    keys = np.concatenate([r["first"] + np.cumsum(_unpressed(r["keys"], r["size"])) for r in parts])
+    different, place = np.unique(keys, return_inverse=True)
+    n = np.concatenate([_unpressed(r["n"], r["size"]) for r in parts])
     total = np.zeros(len(different), dtype=np.int64)
     np.add.at(total, place, n)
     total, at, out = total[place], 0, []
     for r, size in zip(parts, sizes, strict=True):
-        out.append({"chunk": r["chunk"], "k": r["k"], "start": r["start"], "size": size, "n": _small(total[at : at + size]).tobytes()})
+        out.append({"chunk": r["chunk"], "k": r["k"], "start": r["start"], "size": size, "n": _pressed(total[at : at + size])})
         at += size
     yield _rows(out)
 
@@ -149,15 +157,14 @@ def _scored(run: list[dict], order: int, min_count: int, log_total: float) -> pa
     """The texts of a chunk with their scores."""
     own = next(r for r in run if r["ids"] is not None)
     sizes = np.frombuffer(own["sizes"], dtype=np.int64)
-    seq = np.frombuffer(own["low"], dtype=np.uint16).astype(np.uint32) | np.frombuffer(own["high"], dtype=np.uint16).astype(np.uint32) << np.uint32(16)
-    h = np.frombuffer(own["words"], dtype=np.uint64)[seq]
+    h = np.frombuffer(own["words"], dtype=np.uint64)[_unpressed(own["seq"], int(sizes.sum()))]
     value, before = np.zeros(len(h)), np.zeros(len(h))
     for k, (at, found) in enumerate(_grams(h, sizes, order), 1):
         different, place = np.unique(found, return_inverse=True)
         total = np.zeros(len(different), dtype=np.int64)
         for r in run:
             if r["k"] == k:
-                total[r["start"] : r["start"] + r["size"]] = _counts(r["n"], r["size"])
+                total[r["start"] : r["start"] + r["size"]] = _unpressed(r["n"], r["size"])
         n = total[place]
         logs = np.log(np.maximum(n, 1))
         if k == 1:
@@ -218,8 +225,8 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).cast("binary").alias("text"))
     packed = texts.mapInArrow(pack, _DDL).repartition("bucket").sortWithinPartitions("bucket")
-    answers = packed.mapInArrow(count, _DDL).drop("bucket", "keys")
-    sums = answers.withColumns({"bucket": F.lit(0), "keys": F.lit(None).cast("binary")}).select(*[f.name for f in _SCHEMA]).repartition("chunk").sortWithinPartitions("chunk")
+    answers = packed.mapInArrow(count, _DDL).drop("bucket", "first", "keys")
+    sums = answers.withColumns({"bucket": F.lit(0), "first": F.lit(None).cast("long"), "keys": F.lit(None).cast("binary")}).select(*[f.name for f in _SCHEMA]).repartition("chunk").sortWithinPartitions("chunk")
     return sums.mapInArrow(add, "doc_id bigint, n_words bigint, score double, mean double")
 
 
