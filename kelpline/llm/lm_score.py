@@ -18,7 +18,8 @@ of the chunk (the exploded side, combined before it shuffles); the table (hash,
 is cut by hash into buckets, of which there are as many as BUCKET words of the corpus
 give. A bucket adds up its n-grams over all chunks (the count table) and answers each
 chunk with its totals in the order that they came (the join), and the chunk sums the
-logarithms of its texts. An n-gram that every text has is one entry of each chunk, so
+logarithms of its texts, which come to it by a second read (a chunk is known by its
+content; should the texts differ between the reads, the job fails). An n-gram that every text has is one entry of each chunk, so
 no bucket is hotter than the rest; nothing is broadcast or sent to the driver but the
 number of words.
 
@@ -36,7 +37,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -114,16 +114,19 @@ def _runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
         yield held
 
 
-def _packed(chunk: int, ids: list, lists: list[list[int]], buckets: int, order: int) -> pa.RecordBatch:
-    """A chunk's own row, and its n-grams by bucket."""
+def _packed(ids: list, lists: list[list[int]], buckets: int, order: int) -> pa.RecordBatch:
+    """A chunk's own row (where ``buckets`` is 0), or its n-grams by bucket. The chunk is known by its content."""
     sizes = np.array([len(x) for x in lists], dtype=np.int64)
     h = np.array([v for x in lists for v in x], dtype=np.uint64)
+    numbers, nulls = np.array([x or 0 for x in ids], dtype=np.int64).tobytes(), np.array([x is None for x in ids]).tobytes()
+    chunk = xxhash.xxh3_64_intdigest(numbers + nulls + sizes.tobytes() + h.tobytes()) >> 1
     different, place, times = np.unique(h, return_inverse=True, return_counts=True)
-    often = np.argsort(-times, kind="stable")  # frequent words get small numbers
-    number = np.empty(len(often), dtype=np.uint32)
-    number[often] = np.arange(len(often), dtype=np.uint32)
-    own = {"ids": np.array([x or 0 for x in ids], dtype=np.int64).tobytes(), "nulls": np.array([x is None for x in ids]).tobytes(), "sizes": sizes.tobytes()}
-    rows = [{"bucket": chunk % buckets, "chunk": chunk} | own | {"words": different[often].tobytes(), "seq": _pressed(number[place])}]
+    if not buckets:
+        often = np.argsort(-times, kind="stable")  # frequent words get small numbers
+        number = np.empty(len(often), dtype=np.uint32)
+        number[often] = np.arange(len(often), dtype=np.uint32)
+        return _rows([{"chunk": chunk, "ids": numbers, "nulls": nulls, "sizes": sizes.tobytes(), "words": different[often].tobytes(), "seq": _pressed(number[place])}])
+    rows = []
     shift = np.uint64(64 - KEPT - (buckets - 1).bit_length())
     for k, (_, found) in enumerate(_grams(h, sizes, order), 1):
         keys, times = (different, times) if k == 1 else np.unique(found, return_counts=True)
@@ -153,18 +156,23 @@ def _totals(parts: list[dict]) -> Iterator[pa.RecordBatch]:
     yield _rows(out)
 
 
-def _scored(run: list[dict], order: int, min_count: int, log_total: float) -> pa.RecordBatch:
-    """The texts of a chunk with their scores."""
-    own = next(r for r in run if r["ids"] is not None)
+def _scored(run: list[dict], order: int, min_count: int, log_total: float) -> Iterator[pa.RecordBatch]:
+    """The texts of a chunk with their scores, as often as the chunk comes."""
+    owners = [r for r in run if r["ids"] is not None]
+    if not owners:
+        raise RuntimeError("the texts changed between two reads")
+    own = owners[0]
     sizes = np.frombuffer(own["sizes"], dtype=np.int64)
     h = np.frombuffer(own["words"], dtype=np.uint64)[_unpressed(own["seq"], int(sizes.sum()))]
     value, before = np.zeros(len(h)), np.zeros(len(h))
     for k, (at, found) in enumerate(_grams(h, sizes, order), 1):
         different, place = np.unique(found, return_inverse=True)
-        total = np.zeros(len(different), dtype=np.int64)
+        total = np.zeros(len(different), dtype=np.int64)  # a total is at least 1
         for r in run:
             if r["k"] == k:
                 total[r["start"] : r["start"] + r["size"]] = _unpressed(r["n"], r["size"])
+        if not total.all():
+            raise RuntimeError("the texts changed between two reads")
         n = total[place]
         logs = np.log(np.maximum(n, 1))
         if k == 1:
@@ -176,7 +184,8 @@ def _scored(run: list[dict], order: int, min_count: int, log_total: float) -> pa
     score = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=value, minlength=len(sizes)).astype(float)
     ids = pa.array(np.frombuffer(own["ids"], dtype=np.int64), mask=np.frombuffer(own["nulls"], dtype=bool))
     mean = pa.array(score / np.maximum(sizes, 1), mask=sizes == 0)
-    return pa.RecordBatch.from_arrays([ids, pa.array(sizes), pa.array(score), mean], names=["doc_id", "n_words", "score", "mean"])
+    for _ in owners:
+        yield pa.RecordBatch.from_arrays([ids, pa.array(sizes), pa.array(score), mean], names=["doc_id", "n_words", "score", "mean"])
 
 
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, min_count: int = MIN_COUNT) -> DataFrame:
@@ -185,10 +194,9 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     buckets = min(max(BUCKETS, -(-total // BUCKET)), 1 << 24)
     log_total = float(np.log(max(total, 1)))
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def chunks(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         digest = xxhash.xxh64_intdigest
-        chunk = TaskContext.get().partitionId() << 32
         ids: list = []
         lists: list[list[int]] = []
         size = 0
@@ -206,28 +214,31 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
                 lists.append(hashes)
                 size += len(hashes)
                 if size >= CHUNK or len(lists) >= TEXTS:
-                    yield _packed(chunk, ids, lists, buckets, order)
-                    ids, lists, size, chunk = [], [], 0, chunk + 1
+                    yield _packed(ids, lists, buckets, order)
+                    ids, lists, size = [], [], 0
         if lists:
-            yield _packed(chunk, ids, lists, buckets, order)
+            yield _packed(ids, lists, buckets, order)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from chunks(batches, buckets)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from chunks(batches, 0)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in _runs(batches, "bucket"):
-            if own := [r for r in run if r["ids"] is not None]:
-                yield _rows(own)
             for k in range(1, order + 1):
                 if parts := [r for r in run if r["k"] == k]:
                     yield from _totals(parts)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in _runs(batches, "chunk"):
-            yield _scored(run, order, min_count, log_total)
+            yield from _scored(run, order, min_count, log_total)
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).cast("binary").alias("text"))
     packed = texts.mapInArrow(pack, _DDL).repartition("bucket").sortWithinPartitions("bucket")
-    answers = packed.mapInArrow(count, _DDL).drop("bucket", "first", "keys")
-    sums = answers.withColumns({"bucket": F.lit(0), "first": F.lit(None).cast("long"), "keys": F.lit(None).cast("binary")}).select(*[f.name for f in _SCHEMA]).repartition("chunk").sortWithinPartitions("chunk")
-    return sums.mapInArrow(add, "doc_id bigint, n_words bigint, score double, mean double")
+    both = packed.mapInArrow(count, _DDL).unionAll(texts.mapInArrow(keep, _DDL))
+    return both.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(add, "doc_id bigint, n_words bigint, score double, mean double")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
