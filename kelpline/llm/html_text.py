@@ -4,16 +4,17 @@ Markup is read by one scan into lines: a block element, a line break or a
 heading ends a line. What stands in scripts, styles, the head, forms, menus,
 headers of the page, footers, sidebars, notices, adverts and comment sections is
 stripped with its markup; those are known by element, role, or a word of their
-class or id. A line weighs its text without link text; where the page has an <article> or
-<main>, lines in it weigh NAMED more and others nothing, so that its short first and last
-paragraphs stand out like long ones. The line-block distribution is the sum of the
-weights of the WINDOW lines from each line on. A surge is a weighing line whose sum exceeds
-SURGE, the dive is the next line that weighs nothing in a block that fell below it, and the
-text between is the article, with a heading right above the surge. A page
-without any surge (a very short one) gives its weighing lines.
-
-Null or empty html gives an empty text. Unclosed and stray tags are read as
-browsers do: a closing tag ends the nearest open element of its name.
+class or id. A line weighs its text without link text, whatever element holds it. The
+line-block distribution is the sum of the weights of the WINDOW lines from each line on. A
+surge is a weighing line whose sum exceeds SURGE, the dive is the next line that weighs
+nothing in a block that fell below it. As the dive waits for a line without weight, so the
+surge reaches up over the weighing lines right above it, and a heading above those: the
+text between is the article, short first and last lines included. A page without any
+surge (a very short one) gives its weighing lines.
+
+Null or empty html gives an empty text. A closing tag ends the nearest open element of its
+name and those inside it, a stray one nothing; a slash at the end of an opening tag means
+nothing, as in HTML; a new link ends an open one.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 from .common import table
 
 WINDOW = 3
-#: Characters in a window where a surge begins, and what a named article adds to each of its lines.
-SURGE, NAMED = 80, 81
+#: Characters in a window where a surge begins.
+SURGE = 80
 
 # Elements of HTML by what they do to the text.
 BLOCKS = frozenset(
@@ -133,8 +134,11 @@ def lines(page: str) -> list[Line]:
             close = re.compile(rf"</{name}\s*>", re.I).search(page, at)
             at = close.end() if close else end
             continue
-        if name in VOID or m[3].endswith("/"):
+        if name in VOID:
             continue
+        if name == "a" and ("a", False) in stack:
+            k = len(stack) - 1 - stack[::-1].index(("a", False))
+            count(*stack.pop(k), -1)
         if name in BLOCKS and stack and stack[-1][0] == "p":
             count(*stack.pop(), -1)
         if name == "li" and stack and stack[-1][0] == "li":
@@ -151,17 +155,20 @@ def article(page: str | None) -> str:
     found = lines(page or "")
     if not found:
         return ""
-    named = any(x.inside for x in found)
-    weight = [NAMED + len(x.text) if x.inside else 0 if named else max(len(x.text) - x.linked, 0) for x in found]
+    weight = [max(len(x.text) - x.linked, 0) for x in found]
     sums = [sum(weight[i : i + WINDOW]) for i in range(len(found))]
     keep, i = [False] * len(found), 0
     while i < len(found):
         if not weight[i] or sums[i] <= SURGE:
             i += 1
             continue
-        if i and found[i - 1].heading and not named:
-            keep[i - 1] = True
-        while i < len(found) and (weight[i] or not named and sums[i] > SURGE):
+        above = i
+        while above and weight[above - 1]:
+            above -= 1
+        if above and found[above - 1].heading:
+            above -= 1
+        keep[above:i] = [True] * (i - above)
+        while i < len(found) and (weight[i] or sums[i] > SURGE):
             keep[i] = True
             i += 1
     if not any(keep):
