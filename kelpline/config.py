@@ -18,10 +18,13 @@ def _at_least(name: str, value: float, least: float) -> None:
         raise ValueError(f"{name} must be at least {least}")
 
 
+# The defaults of the settings in this module.
+
+
 @dataclass(frozen=True)
 class PrimaryConfig:
     site: str
-    target_year: str = "2025"
+    target_year: str = "2026"
     similarity: float = 0.85
     fuzzy: float = 90.0
     rerank: float = 0.85
@@ -56,7 +59,7 @@ class PrimaryConfig:
 @dataclass(frozen=True)
 class SecondaryConfig:
     site: str
-    target_year: str = "2025"
+    target_year: str = "2026"
     similarity: float = 0.85
     fuzzy: float = 90.0
     agreement: float = 0.80

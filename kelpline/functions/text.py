@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # What counts as missing, in upper case.
@@ -110,3 +110,13 @@ def weighted(parts: list[tuple[float, Column]]) -> Column:
     for w, c in parts[1:]:
         value = value + c * w
     return F.try_divide(value, F.lit(float(total)))
+
+
+def bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once per row, however often ``body`` uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """The same rows; keeps the optimizer from copying a costly column into each of its uses."""
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`").alias(c) for c in df.columns]))))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kelpline.functions.text import usable
 
-#: An attempt form, and the ways in which a code can lose its ending, tried in this order.
+# An attempt form, and the ways in which a code can lose its ending, tried in this order.
 ATTEMPT = r"^664/(.+)$"
 ENDINGS = (r"\([A-Z0-9]+\)$", r"[A-Z]+$", r"\..*$", r"\s+(MPOL|VC|PC)/?.*$")
 
