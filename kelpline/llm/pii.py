@@ -8,14 +8,18 @@ the whole corpus: the pointwise mutual information of entity and word, as a
 share of the information content of the entity (Sanchez and Batet, "C-sanitized",
 2016), says how far the word gives the entity away. From GENERALISE on, the
 word's mentions near the entity become a class label; from REMOVE on they go.
-An entity or pair seen in fewer than SUPPORT distinct contexts has no estimate.
+Most values are mentioned once: SUPPORT, the distinct contexts that an estimate
+needs, is 1, so a rare name beside one address counts as what it is, a sign of it.
 
 Everything before the last join works on mentions, so a value that a third of
 all texts share adds rows in proportion to its mentions, combined before they
-shuffle.
+shuffle. A mention is compared with the NEIGHBOURS matches on either side of it in
+its text, which is more than CONTEXT characters can hold; only inside an address that
+holds more matches than that could a word be taken for a free one.
 
 Nulls: a null text is empty; a null id is carried along. Repeated rows are kept
-and each gets its spans. Empty and very long texts need no special case. Other
+and each gets its spans. Empty texts need no special case; of very long ones
+each mention is found by its place, which takes time in proportion to both. Other
 columns are passed through by ``sanitise`` and ignored by ``detect``.
 """
 
@@ -41,7 +45,8 @@ NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 
 CONTEXT = 120
-SUPPORT = 3
+SUPPORT = 1
+NEIGHBOURS = 80
 GENERALISE, REMOVE = 0.6, 0.9
 TERM = r"\p{L}{3,}"
 
@@ -112,11 +117,12 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _mentions(based: DataFrame) -> DataFrame:
     """One row per word near a mention: (__id, __hash, kind, value, context, term, start, stop)."""
-    m = based.select("__id", "__hash", "__text", "base", F.explode("base").alias("m"))
+    m = based.select("__id", "__hash", "__text", "base", F.posexplode("base").alias("at", "m"))
+    around = F.slice("base", F.greatest(F.col("at") + 1 - NEIGHBOURS, F.lit(1)), 2 * NEIGHBOURS + 1)
     before = F.greatest(F.col("m.start") - CONTEXT, F.lit(0))
     left = F.substring("__text", before + 1, F.col("m.start") - before)
     right = F.substring("__text", F.col("m.stop") + 1, F.lit(CONTEXT))
-    m = barrier(m.select("__id", "__hash", "base", "m", before.alias("from"), left.alias("left"), right.alias("right")))
+    m = barrier(m.select("__id", "__hash", around.alias("base"), "m", before.alias("from"), left.alias("left"), right.alias("right")))
     cut_left = F.col("from") > 0
     cut_right = F.length("right") == CONTEXT
 

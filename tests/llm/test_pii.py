@@ -72,6 +72,8 @@ def test_words_that_give_an_entity_away(spark):
         words = [common[(i * 3 + k) % 8] for k in range(6)]
         rows.append((1000 + i, f"{words[0]} {words[1]} Zebulon wrote from zed@mail.example.com to {words[2]} {words[4]}", None, None, None, None))
     rows.append((2000, "Zebulon and the river stone", None, None, None, None))
+    rows += [(3000 + i, "call now or call later", None, None, None, None) for i in range(120)]
+    rows.append((2001, "river Quillon stone quill@one.example.com cloud", None, None, None, None))
     rows.append((None, "call +1 (988) 555-2485 now", None, None, None, None))
     df = spark.createDataFrame(rows, SCHEMA)
     out = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
@@ -79,6 +81,7 @@ def test_words_that_give_an_entity_away(spark):
     for i in range(6):
         assert "zed@" not in out[1000 + i] and "[EMAIL]" in out[1000 + i] and "Zebulon" not in out[1000 + i]
     assert out[2000] == "Zebulon and the river stone"  # no entity there
+    assert out[2001] == "river  stone [EMAIL] cloud"  # mentioned once: a name that stands nowhere else goes
     assert out[None] == "call [PHONE] now"
     assert all(out[i] == rows[i][1] for i in range(300))
 
@@ -89,6 +92,15 @@ def test_copies_of_one_page_are_one_context(spark):
     assert {r.text for r in out} == {"alpha beta gamma reach me at [EMAIL] delta"} and len(out) == 20
 
 
+def test_many_mentions_in_one_text(spark):
+    """A text of 10,000 mentions; each is found at its place."""
+    text = " ".join(f"word{k % 50} u{k}@mail{k % 97}.example.com" for k in range(10_000))
+    rows = spark.createDataFrame([(1, text, None, None, None, None)], SCHEMA)
+    got = pii.detect(rows).first()
+    assert [(b["start"], b["stop"]) for b in got["__base"]] == [(s, e) for _, s, e in brute(text)]
+    assert all(text[t["start"] : t["stop"]].lower() == t["value"] for t in got["__terms"])
+
+
 def test_empty_table(spark):
     assert pii.sanitise(spark.createDataFrame([], SCHEMA)).collect() == []
 
