@@ -26,7 +26,7 @@ def data(tmp_path):
 
 
 def test_primary_then_preflight_codes(spark, data):
-    cfg = PrimaryConfig("Cook", min_class_count=99)
+    cfg = PrimaryConfig("Cook", "2025", min_class_count=99)
     out = data / "out"
     run = primary.run(spark, str(data), str(out), cfg, FunctionEmbedder(lambda: keyword))
     got = {r.input_chrg_code: r for r in run.results.collect()}
@@ -42,9 +42,9 @@ def test_primary_then_preflight_codes(spark, data):
     assert report.ok and not report.warnings
 
     codes = lambda r: {i.code for i in r.issues}
-    assert codes(preflight.check_primary(data, out, PrimaryConfig("Nowhere"), spark)) == {"invalid_config"}
+    assert codes(preflight.check_primary(data, out, PrimaryConfig("Nowhere", "2025"), spark)) == {"invalid_config"}
     assert codes(preflight.check_primary(data / "no", run.path, cfg, spark)) == {"output_not_directory", "data_dir_missing"}
-    assert codes(preflight.check_primary(data, data / "o2", PrimaryConfig("Harris"), spark)) == {"reference_missing", "diagnostic_missing", "starting_key_missing"}
+    assert codes(preflight.check_primary(data, data / "o2", PrimaryConfig("Harris", "2025"), spark)) == {"reference_missing", "diagnostic_missing", "starting_key_missing"}
     (data / "2022_c" / "Cook_2022.csv").write_text("code\n1\n")
     (data / "2021_c" / "Cook_2021.csv").unlink()
     bad = preflight.check_primary(data, out, cfg, spark)
@@ -62,11 +62,11 @@ def test_secondary(spark, tmp_path):
     xlsx.write_workbook(str(files.intermediary(tmp_path / "out", "Lucas", "2025")), {"Charge Key": (["site", "chrg_code", "chrg_desc", "chrg_type_violent", "chrg_sev"], key)})
     (tmp_path / "2025_court_d").mkdir()
     (tmp_path / "2025_court_d" / "Lucas.csv").write_text("chrg_code,chrg_desc,charge_key\nJ1,Assault with weapon,0\nJ2,THEFT OF VEHICLE,0\nJ3,ab,0\n")
-    run = secondary.run(spark, str(tmp_path), str(tmp_path / "out"), SecondaryConfig("Lucas", min_class_count=99), FunctionEmbedder(lambda: keyword))
+    run = secondary.run(spark, str(tmp_path), str(tmp_path / "out"), SecondaryConfig("Lucas", "2025", min_class_count=99), FunctionEmbedder(lambda: keyword))
     assert run.summary.first().asDict() == {"total": 2, "confident": 2, "ensemble_resolved": 0, "needs_review": 0, "automation_rate": 100.0}
     rows = {r.court_chrg_code: r for r in xlsx.read_xlsx(spark, str(run.path), "confident").collect()}
     assert rows["J1"].matched_jail_chrg_code == "A" and rows["J1"].match_method == "exact" and rows["J2"].chrg_sev == "M"
-    report = preflight.check_secondary(tmp_path, tmp_path / "none", SecondaryConfig("Spokane"), spark)
+    report = preflight.check_secondary(tmp_path, tmp_path / "none", SecondaryConfig("Spokane", "2025"), spark)
     assert {i.code for i in report.issues} == {"finalized_jail_key_missing", "court_diagnostic_missing", "training_keys_missing"}
 
 
@@ -100,7 +100,8 @@ def test_rules_contracts_and_settings():
     assert contracts.attributes(["a", "chrg_type_x", "chrg_ibr_code", "chrg_type_x"]) == ["chrg_ibr_code", "chrg_type_x"]
     audit = contracts.audit(["chrg_type_dui", "chrg_type_local"])
     assert audit.extra == ("chrg_type_local",) and len(audit.missing) == 40
-    assert PrimaryConfig("Cook").reference_years() == YEARS and SecondaryConfig("Lucas").reference_years() == YEARS[:4]
+    assert PrimaryConfig("Cook", "2025").reference_years() == YEARS and SecondaryConfig("Lucas", "2025").reference_years() == YEARS[:4]
+    assert PrimaryConfig("Cook").target_year == SecondaryConfig("Lucas").target_year == "2026"
     for bad in (lambda: PrimaryConfig("Cook", similarity=2).validate(), lambda: RetrievalConfig(0, 0, 0, 0), lambda: RetrievalConfig(top_ks=()), lambda: RetrievalConfig(ngrams=(3, 2)), lambda: SecondaryConfig("Cook").validate()):
         with pytest.raises(ValueError):
             bad()
