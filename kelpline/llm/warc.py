@@ -12,7 +12,15 @@ are inflated to their end and dropped.
 Writing: each task writes archives of its own under names that no other attempt
 has; the driver's commit moves a manifest into place, and readers follow the
 manifests, so an attempt that was lost or repeated leaves nothing behind that is
-read. Paths are URIs that pyarrow's file systems know (file, hdfs, s3, gs).
+read. In a folder without manifests all ``*.warc`` and ``*.warc.gz`` files are read;
+a path may name one such file. Paths are URIs that pyarrow's file systems know
+(file, hdfs, s3, gs).
+
+Records whose block is not HTTP have that block as their payload. The length of
+an HTTP payload is its Content-Length or, where there is none, that of the body.
+A damaged archive (cut off, no number as length, a gzip member of several
+records) fails the read and names file and place; option ``damaged`` = skip keeps
+the records before the damage and leaves out the rest of that file.
 
 Edges: a null payload is an empty one. A null id is written as such and read as
 null. An empty frame gives an archive folder without files. Of equal payloads of
@@ -107,10 +115,33 @@ def _parsed(head: bytes) -> dict[str, str]:
     found = {}
     for line in head.split(b"\r\n")[1:]:
         name, _, value = line.partition(b":")
-        found[name.strip().lower().decode()] = value.strip().decode("utf-8", "replace")
+        found[name.strip().lower().decode("utf-8", "replace")] = value.strip().decode("utf-8", "replace")
     return found
 
 
+class Damaged(ValueError):
+    """An archive that is cut off or malformed."""
+
+
+def _length(fields: dict[str, str]) -> int:
+    value = fields.get("content-length", "")
+    if not (value.isascii() and value.isdigit()):
+        raise Damaged(f"a record's length is {value!r}")
+    return int(value)
+
+
+def _http(block, n: int, payload: bool) -> tuple[bytes, int, bytes]:
+    """Head and body of an HTTP block of ``n`` bytes, and the payload's length; without ``payload`` only the head is read."""
+    limit = None if payload else HEADER_BYTES
+    data = block(limit)
+    while limit is not None and b"\r\n\r\n" not in data and limit < n:
+        limit *= 4
+        data = block(limit)
+    head, _, body = data.partition(b"\r\n\r\n")
+    value = _parsed(head).get("content-length", "")
+    return head, int(value) if value.isascii() and value.isdigit() else max(n - len(head) - 4, 0), body
+
+
 class _Plain:
     """Records of an uncompressed archive."""
 
@@ -125,11 +156,13 @@ class _Plain:
             while b"\r\n\r\n" not in data:
                 more = self.source.read(HEADER_BYTES)
                 if not more:
-                    return
+                    raise Damaged(f"no end of the headers that start at {at}")
                 data += more
             head, _, _ = data.partition(b"\r\n\r\n")
             fields = _parsed(head)
-            start, n = at + len(head) + 4, int(fields.get("content-length", 0))
+            start, n = at + len(head) + 4, _length(fields)
+            if start + n > self.size:
+                raise Damaged(f"the record at {at} is cut off")
 
             def block(limit=None, start=start, n=n):
                 self.source.seek(start)
@@ -153,7 +186,10 @@ class _Gzip:
             known = start[3:4] == b"\x04" and start[12:14] == b"sl"
             end = int.from_bytes(start[16:20], "little") if known else None
 
-            def inflated(limit=None, at=at, end=end, known=known):
+            if known and (end < 24 or at + end > self.size):
+                raise Damaged(f"the member at {at} is cut off")
+
+            def inflated(limit=None, at=at, known=known):
                 """The member's data, the first ``limit`` bytes of it; and its length in the file if it was read whole."""
                 self.source.seek(at + 24 if known else at)
                 inflate = zlib.decompressobj(-15 if known else 31)
@@ -161,28 +197,40 @@ class _Gzip:
                 while not inflate.eof and (limit is None or sum(map(len, out)) < limit):
                     chunk = inflate.unconsumed_tail or self.source.read(1 << 12 if limit else 1 << 16)
                     if not chunk:
-                        break
+                        raise Damaged(f"the member at {at} is cut off")
                     read += 0 if inflate.unconsumed_tail else len(chunk)
-                    out.append(inflate.decompress(chunk, limit or 0))
+                    try:
+                        out.append(inflate.decompress(chunk, limit or 0))
+                    except zlib.error as problem:
+                        raise Damaged(f"the member at {at}: {problem}") from problem
                 return b"".join(out), read - len(inflate.unused_data)
 
             data, _ = inflated(HEADER_BYTES)
             limit = HEADER_BYTES
-            while b"\r\n\r\n" not in data and limit < 1 << 26:
+            while b"\r\n\r\n" not in data:
+                if len(data) < limit:
+                    raise Damaged(f"no end of the headers that start at {at}")
                 limit *= 8
                 data, _ = inflated(limit)
             head, _, rest = data.partition(b"\r\n\r\n")
             fields = _parsed(head)
-            n = int(fields.get("content-length", 0))
+            n = _length(fields)
 
             def block(limit=None, inflated=inflated, head=len(head) + 4, rest=rest, n=n):
                 if limit is not None and len(rest) >= min(limit, n):
                     return rest[: min(limit, n)]
                 whole, _ = inflated(None if limit is None else head + limit)
+                if limit is None and len(whole) < head + n:
+                    raise Damaged("a member is shorter than its record")
                 return whole[head : head + n]
 
+            if not known:  # its end shows only when it is inflated
+                whole, end = inflated()
+                if whole[len(head) + 4 + n :].strip(b"\r\n") or len(whole) < len(head) + 4 + n:
+                    raise Damaged(f"the member at {at} does not hold one record")
+                del whole
             yield fields, block
-            at += end if known else max(inflated()[1], 1)
+            at += end
 
 
 @dataclass
@@ -194,6 +242,7 @@ class WarcReader(DataSourceReader):
     def __init__(self, options):
         self.path = options["path"]
         self.payload = options.get("payload", "true").lower() != "false"
+        self.skip_damaged = options.get("damaged", "fail").lower() == "skip"
         self.wanted: dict[str, set] = {}
 
     def pushFilters(self, filters):  # noqa: N802
@@ -208,10 +257,16 @@ class WarcReader(DataSourceReader):
     def partitions(self):
         where, root = _open(self.path)
         files: list[tuple[str, int]] = []
-        for info in where.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
-            if info.base_name.startswith("manifest-") and info.base_name.endswith(".json"):
-                with where.open_input_stream(info.path) as source:
-                    files += [(name, size) for name, size in json.loads(source.read())]
+        if where.get_file_info(root).type == pafs.FileType.File:
+            found, ours = [where.get_file_info(root)], []
+        else:
+            found = where.get_file_info(pafs.FileSelector(root, allow_not_found=True))
+            ours = [i for i in found if i.base_name.startswith("manifest-") and i.base_name.endswith(".json")]
+        for info in ours:
+            with where.open_input_stream(info.path) as source:
+                files += [(f"{root}/{name}", size) for name, size in json.loads(source.read())]
+        if not ours:
+            files = [(i.path, i.size) for i in found if i.base_name.endswith((".warc", ".warc.gz"))]
         groups: list[list[tuple[str, int]]] = []
         room = 0
         for name, size in sorted(files):
@@ -225,20 +280,27 @@ class WarcReader(DataSourceReader):
     def read(self, partition):
         if partition is None:
             return
-        where, root = _open(self.path)
+        where, _ = _open(self.path)
         for name, size in partition.paths:
-            with where.open_input_file(f"{root}/{name}") as source:
-                for fields, block in (_Gzip if name.endswith(".gz") else _Plain)(source, size).records():
-                    values = {k: _bare(fields.get(h)) for k, h in _HEADERS.items()}
-                    if any(values[k] not in allowed for k, allowed in self.wanted.items()):
-                        continue
-                    length, payload = None, None
-                    if fields.get("content-type", "").startswith("application/http"):
-                        data = block(None if self.payload else HEADER_BYTES)
-                        head, _, body = data.partition(b"\r\n\r\n")
-                        length = int(_parsed(head).get("content-length", 0))
-                        payload = body if self.payload and values["record_type"] != "revisit" else None
-                    yield (*(values[k] for k in ("record_id", "record_type", "target_uri", "payload_digest")), length, values["refers_to"], payload)
+            with where.open_input_file(name) as source:
+                try:
+                    yield from self._rows((_Gzip if name.endswith(".gz") else _Plain)(source, size))
+                except Damaged as problem:
+                    if not self.skip_damaged:
+                        raise Damaged(f"{name}: {problem}") from problem
+
+    def _rows(self, archive):
+        for fields, block in archive.records():
+            values = {k: _bare(fields.get(h)) for k, h in _HEADERS.items()}
+            if any(values[k] not in allowed for k, allowed in self.wanted.items()):
+                continue
+            length = _length(fields)
+            if fields.get("content-type", "").startswith("application/http"):
+                _, length, body = _http(block, length, self.payload)
+                payload = body if self.payload and values["record_type"] != "revisit" else None
+            else:
+                payload = block() if self.payload else None
+            yield (*(values[k] for k in ("record_id", "record_type", "target_uri", "payload_digest")), length, values["refers_to"], payload)
 
 
 @dataclass

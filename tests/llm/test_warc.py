@@ -59,3 +59,46 @@ def test_uncommitted_files_are_not_read_and_empty_frames(spark, tmp_path):
     warc.archive(spark.createDataFrame([], PAGES), path)
     (tmp_path / "w" / "part-lost.warc.gz").write_bytes(b"half a file")
     assert spark.read.format("warc").load(path).collect() == []
+
+
+def foreign():
+    """Records as other software writes them: resource, long HTTP heads, no HTTP length, odd header bytes."""
+    head = lambda kind, n, rest: f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:{kind}>\r\n{rest}Content-Length: {n}\r\n\r\n".encode()
+    long = b"HTTP/1.1 200 OK\r\nX-Pad: " + b"p" * 5000 + b"\r\nContent-Length: 4\r\n\r\nbody"
+    bare = b"HTTP/1.0 200 OK\r\n\r\nno length"
+    http = "Content-Type: application/http; msgtype=response\r\n"
+    odd = head("metadata", 3, "").replace(b"Content-Length", b"X-\xff\xfe: 1\r\nContent-Length")
+    return [
+        head("resource", 5, "Content-Type: text/plain\r\n") + b"plain\r\n\r\n", head("response", len(long), http) + long + b"\r\n\r\n",
+        head("conversion", len(bare), http) + bare + b"\r\n\r\n", odd + b"abc\r\n\r\n",
+    ]
+
+
+WANT = [("conversion", 9, b"no length"), ("metadata", 3, b"abc"), ("resource", 5, b"plain"), ("response", 4, b"body")]
+
+
+@pytest.mark.parametrize("pack, name", [(bytes, "a.warc"), (gzip.compress, "a.warc.gz"), (warc.member, "a.warc.gz")])
+def test_archives_of_other_software(spark, tmp_path, pack, name):
+    (tmp_path / name).write_bytes(b"".join(map(pack, foreign())))
+    warc.register(spark)
+    for path in (f"file://{tmp_path}", f"file://{tmp_path}/{name}"):
+        got = spark.read.format("warc").load(path).collect()
+        assert sorted((r.record_type, r.payload_length, bytes(r.payload)) for r in got) == WANT
+    heads = spark.read.format("warc").option("payload", "false").load(f"file://{tmp_path}").collect()
+    assert sorted((r.record_type, r.payload_length) for r in heads) == [w[:2] for w in WANT]
+    assert all(r.payload is None for r in heads)
+
+
+@pytest.mark.parametrize("name", ["cut.warc", "cut.warc.gz", "length.warc", "several.warc.gz"])
+def test_damaged_archives(spark, tmp_path, name):
+    parts = foreign()
+    data = {
+        "cut.warc": parts[0] + parts[1][:-20], "cut.warc.gz": gzip.compress(parts[0]) + gzip.compress(parts[1])[:-20],
+        "length.warc": parts[0] + parts[3].replace(b"Length: 3", b"Length: x"), "several.warc.gz": gzip.compress(parts[0]) + gzip.compress(parts[1] + parts[2]),
+    }[name]
+    (tmp_path / name).write_bytes(data)
+    warc.register(spark)
+    with pytest.raises(Exception, match=name):
+        spark.read.format("warc").load(f"file://{tmp_path}").collect()
+    kept = spark.read.format("warc").option("damaged", "skip").load(f"file://{tmp_path}").collect()
+    assert [r.record_type for r in kept] == ["resource"]
