@@ -6,6 +6,7 @@ import atexit
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,11 +43,40 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
-def rename(spark: SparkSession, old: str, new: str) -> bool:
-    """Atomic on HDFS and local file systems; false if ``new`` is already there."""
-    source, fs = _hadoop_path(spark, old)
-    target, _ = _hadoop_path(spark, new)
-    return not fs.exists(target) and fs.rename(source, target)
+def publish(spark: SparkSession, text: str, place: str) -> bool:
+    """Creates the file ``place`` with ``text`` at once; false if it is there already.
+
+    One of several writers succeeds: a file's rename onto another fails on HDFS, a
+    hard link to a name that exists fails on local disks. Stores without an atomic
+    rename (plain object stores) need one writer at a time.
+    """
+    target, fs = _hadoop_path(spark, place)
+    draft, _ = _hadoop_path(spark, f"{place}.{uuid.uuid4().hex}.draft")
+    out = fs.create(draft, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    try:
+        if fs.getScheme() != "file":
+            return not fs.exists(target) and fs.rename(draft, target)
+        jvm = spark.sparkContext._jvm
+        local = [jvm.java.io.File(p.toUri().getPath()).toPath() for p in (target, draft)]
+        jvm.java.nio.file.Files.createLink(*local)
+        return True
+    except Py4JJavaError as problem:
+        if "FileAlreadyExists" not in problem.java_exception.getClass().getName():
+            raise
+        return False
+    finally:
+        fs.delete(draft, False)
+
+
+def content(spark: SparkSession, place: str) -> str:
+    where, fs = _hadoop_path(spark, place)
+    source = fs.open(where)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
 
 
 def exists(spark: SparkSession, path: str) -> bool:

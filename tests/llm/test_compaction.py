@@ -70,3 +70,49 @@ def test_query(spark, sf):
     for r in got:
         sizes.setdefault(r.shard_id, []).append(r.shard_rows)
     assert all(len(v) == v[0] for v in sizes.values())
+
+
+def test_writers_that_meet_keep_all_rows_and_unique_numbers(spark, store, monkeypatch):
+    """Another writer commits between a writer's reading of the version and its commit."""
+    store.append(rows(spark, 0, 50))
+    other, real, done = c.ShardStore(spark, store.path), c.ShardStore._commit, []
+
+    def late(self, manifest, version):
+        if self is store and not done:
+            done.append(other.append(rows(spark, 50, 100)))
+        return real(self, manifest, version)
+
+    monkeypatch.setattr(c.ShardStore, "_commit", late)
+    assert store.append(rows(spark, 100, 150)) == 3
+    ids = [r.shard_id for r in store.manifest().collect()]
+    assert len(ids) == len(set(ids)) and plain(store.read()) == plain(rows(spark, 0, 150))
+
+
+def test_merges_that_meet_keep_all_rows(spark, store, monkeypatch):
+    for k in range(4):
+        store.append(rows(spark, 100 * k, 100 * k + 100))
+    other, real, done = c.ShardStore(spark, store.path), c.ShardStore._commit, []
+
+    def late(self, manifest, version):
+        if self is store and not done:
+            done.append(other.compact())
+        return real(self, manifest, version)
+
+    monkeypatch.setattr(c.ShardStore, "_commit", late)
+    store.compact()
+    assert done and plain(store.read()) == plain(rows(spark, 0, 400))
+
+
+def test_vacuum_leaves_a_writer_at_work_alone(spark, store):
+    store.append(rows(spark, 0, 10))
+    name = store._folder()
+    rows(spark, 10, 20).write.parquet(f"{store.path}/data/{name}")
+    assert store.vacuum() == 0
+    store._done(name)
+    assert store.vacuum() >= 1 and store.read().count() == 10
+
+
+def test_very_long_texts(spark, store):
+    df = spark.createDataFrame([(1, "x" * 3_000_000, "p", 1, [1]), (2, "", None, None, None)], ROWS)
+    store.append(df)
+    assert plain(store.read()) == plain(df)
