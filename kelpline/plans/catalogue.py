@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelpline import contracts
-from kelpline.config import NoiseConfig, PrimaryConfig, RetrievalConfig
+from kelpline.config import HoldoutConfig, NoiseConfig, PrimaryConfig, RetrievalConfig
 from kelpline.functions import text as tx
 from kelpline.functions.similarity import lcs, ratio, token_set_ratio, token_sort_ratio
 from kelpline.operators import dedupe, dictionary, holdout, match, noise, pairwise, panel, ranking
@@ -500,11 +500,16 @@ def judged(spark, sf):
     return new.select(F.col("o_orderkey").alias("query_id"), (F.col("o_totalprice") / 1000).alias("margin"), mapped.alias("is_mapped"), (~mapped).alias("is_novel"), ((F.col("o_orderstatus") == "F") & mapped).alias("reranked_correct"))
 
 
+@query("temporal_holdout")
+def temporal_holdout(spark, sf):
+    """The whole holdout over all names and queries: ids deal five years, names of the last are novel."""
+    history = names(spark, sf).withColumn("source_year", 2000 + F.pmod("ref_id", F.lit(5)))
+    return holdout.evaluate(history, name_queries(spark, sf), HoldoutConfig(year=2004))[0]
+
+
 @query("temporal_cut", f"""WITH {SALES}, k AS (SELECT *, row_number() OVER (PARTITION BY code, "desc" ORDER BY source_year DESC, load_seq DESC) AS n FROM s),
 c AS (SELECT *, row_number() OVER (ORDER BY source_year, load_seq) AS pos FROM k WHERE n = 1) SELECT code, "desc" AS d, source_year, row_number() OVER (ORDER BY pos) - 1 AS ref_pos FROM c WHERE source_year < 2001""")
 def temporal_cut(spark, sf):
-    from kelpline.config import HoldoutConfig
-
     ref = dedupe.reference(sales(spark, sf), "code", "desc").withColumn("ref_id", F.col("ref_pos"))
     return holdout.cut(ref, HoldoutConfig(year=2001)).select("code", F.col("desc").alias("d"), "source_year", "ref_pos")
 
@@ -569,8 +574,9 @@ def committee_consensus(spark, sf):
 
 @query("vote_majority", f"WITH {VOTES} SELECT query_id, attr, CAST(round_even(avg(vote), 0) AS BIGINT) AS major, round(avg(probability), 6) AS p FROM v GROUP BY ALL")
 def vote_majority(spark, sf):
-    v = vote_table(spark, sf).groupBy("query_id", "attr").agg(panel.majority(F.avg("vote")).cast("long").alias("major"), F.round(F.avg("probability"), 6).alias("p"))
-    return v
+    v = vote_table(spark, sf)
+    major = v.groupBy("query_id", "attr").agg(panel.majority(F.avg("vote")).cast("long").alias("major"))
+    return major.join(panel.profile(v), ["query_id", "attr"]).withColumn("p", F.round("p", 6))
 
 
 @query("class_gate", "SELECT 'label' AS attr, count(*) >= 2 AND min(n) >= 5 AS trainable FROM (SELECT label, count(*) AS n FROM embeddings GROUP BY label)")
@@ -583,7 +589,7 @@ def class_gate(spark, sf):
 def panel_predict(spark, sf):
     e = table(spark, sf, "embeddings")
     rows = e.select(F.col("vec_id").alias("query_id"), F.transform("embedding", lambda x: x.cast("double")).alias("vector"), (F.col("label") < 3).cast("int").alias("chrg_type_low"))
-    return panel.profile(panel.votes(rows, panel.train(rows, ["chrg_type_low"], 5, ("forest", "svm", "bayes"))))
+    return panel.profile(panel.votes(rows, panel.train(rows, ["chrg_type_low"], 5)))
 
 
 @query(
