@@ -43,8 +43,10 @@ def fit_reranker(training: DataFrame, cfg: HoldoutConfig, kernel=lcs) -> tuple[p
     """(model, noisy training queries) from the cut reference alone."""
     made = noise.generate(training, NoiseConfig(cfg.variants, cfg.seed))
     queries = made.withColumn("query_id", F.concat_ws("/", F.col("target").cast("string"), F.col("variant").cast("string")))
-    ranked = rank_candidates(queries.select("query_id", "code", "desc", "target"), training, cfg.retrieval, kernel)
-    return pairwise.fit(pairwise.pair_examples(ranked, cfg.negatives), cfg.strength), made
+    ranked = rank_candidates(queries.select("query_id", "code", "desc", "target"), training, cfg.retrieval, kernel).persist()
+    model = pairwise.fit(pairwise.pair_examples(ranked, cfg.negatives), cfg.strength)
+    ranked.unpersist()
+    return model, made
 
 
 def margins(reranked: DataFrame) -> DataFrame:

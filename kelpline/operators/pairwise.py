@@ -37,11 +37,13 @@ def fit(examples: DataFrame, strength: float = 1.0) -> Reranker:
     """L2 logistic regression without intercept; ``strength`` is the inverse penalty."""
     if strength <= 0:
         raise ValueError("strength must be positive")
+    examples = examples.persist()
     n = examples.count()
     if not n:
         raise ValueError("there are no training pairs")
     vector = VectorAssembler(inputCols=[f"d_{f}" for f in FEATURES], outputCol="features").transform(examples)
     model = LogisticRegression(regParam=1 / (strength * n), elasticNetParam=0.0, fitIntercept=False, standardization=False, maxIter=200, tol=1e-10).fit(vector)
+    examples.unpersist()
     return Reranker(dict(zip(FEATURES, model.coefficients.toArray().tolist(), strict=True)))
 
 
