@@ -1,12 +1,14 @@
 """Robust multivariate outliers: minimum-covariance-determinant rules per language and source.
 
 Native: DataFrame operations only. Each text becomes a vector of five
-transformed statistics. Per group (language, source) the estimate starts from
-medians and median deviations, keeps the share H of rows that lie nearest, and
-repeats concentration steps (Rousseeuw and Van Driessen 1999): moments of the
-kept rows, a Cholesky factor of their covariance, new Mahalanobis distances,
-new nearest rows. A last step reweights with the rows inside the 97.5 % ellipse.
-A row is rejected beyond the CUT quantile of chi-square.
+transformed statistics. Per group (language, source) the estimate has three
+deterministic starts: medians with median deviations, the moments of the half of
+the rows nearest to those, and the moments of all rows. Each repeats concentration
+steps (Rousseeuw and Van Driessen 1999): the share H of rows that lie nearest, their
+moments, a Cholesky factor of their covariance, new Mahalanobis distances. After
+STEPS of them the start with the smallest determinant goes on alone, until no
+group's determinant changes or for FURTHER steps. A last step reweights with the
+rows inside the 97.5 % ellipse. A row is rejected beyond the CUT quantile of chi-square.
 
 Quantiles come from counts over fixed bins of the distance, moments from sums:
 both combine before they shuffle, so a source with a third of all rows is no
@@ -31,7 +33,10 @@ from .textstats import barrier, words
 
 MIN_WORDS, REPEAT_PERCENT = 50, 50
 H = 0.75
-STEPS = 3
+#: Concentration steps of every start, and at most so many more of the best one.
+STEPS, FURTHER = 2, 6
+#: Change of a log determinant below which a group has settled.
+SETTLED = 1e-6
 CUT = 0.999
 MIN_GROUP = 60
 #: Standard deviations added to each axis, in the units of the transformed statistics.
@@ -142,11 +147,11 @@ def _grouped(stats: DataFrame) -> DataFrame:
     return stats.join(small_side(names), ["lang", "source"])
 
 
-def _quantile(rows: DataFrame, values: dict[str, Column], share: float) -> DataFrame:
-    """Per grp: the upper edge of the bin that holds the given share of each value (>= 0)."""
+def _quantile(rows: DataFrame, values: dict[str, Column], share: float, by: tuple[str, ...] = ("grp",)) -> DataFrame:
+    """Per key: the upper edge of the bin that holds the given share of each value (>= 0)."""
     one = F.explode(F.array(*[F.struct(F.lit(k).alias("what"), F.floor(BINS * F.log1p(v)).cast("long").alias("bin")) for k, v in values.items()]))
-    counts = rows.select("grp", one.alias("v")).groupBy("grp", F.col("v.what").alias("what"), F.col("v.bin").alias("bin")).count()
-    gathered = counts.groupBy("grp", "what").agg(F.sort_array(F.collect_list(F.struct("bin", "count"))).alias("b"), F.sum("count").alias("n"))
+    counts = rows.select(*by, one.alias("v")).groupBy(*by, F.col("v.what").alias("what"), F.col("v.bin").alias("bin")).count()
+    gathered = counts.groupBy(*by, "what").agg(F.sort_array(F.collect_list(F.struct("bin", "count"))).alias("b"), F.sum("count").alias("n"))
     # bins are at most a few thousand whatever the input: distances are finite doubles on a log scale
     found = F.aggregate(
         "b",
@@ -156,14 +161,14 @@ def _quantile(rows: DataFrame, values: dict[str, Column], share: float) -> DataF
             F.when(a["bin"].isNull() & (a["c"] + x["count"] >= share * F.col("n")), x["bin"]).otherwise(a["bin"]).alias("bin"),
         ),
     )["bin"]
-    edge = gathered.select("grp", "what", F.expm1((found + 1) / F.lit(float(BINS))).alias("edge"))
-    return edge.groupBy("grp").agg(*[F.max(F.when(F.col("what") == k, F.col("edge"))).alias(k) for k in values])
+    edge = gathered.select(*by, "what", F.expm1((found + 1) / F.lit(float(BINS))).alias("edge"))
+    return edge.groupBy(*by).agg(*[F.max(F.when(F.col("what") == k, F.col("edge"))).alias(k) for k in values])
 
 
-def _factor(moments: DataFrame, scale: float) -> DataFrame:
-    """Means and Cholesky factor per grp from the sums of a moments table."""
+def _factor(moments: DataFrame, scale: float, by: tuple[str, ...] = ("grp",)) -> DataFrame:
+    """Means and Cholesky factor per key from the sums of a moments table."""
     k = len(AXES)
-    df = moments.select("grp", "m", *[(F.col(f"s_{a}") / F.col("m")).alias(f"mean_{a}") for a in AXES], *[f"s_{AXES[i]}_{AXES[j]}" for i in range(k) for j in range(i + 1)])
+    df = moments.select(*by, "m", *[(F.col(f"s_{a}") / F.col("m")).alias(f"mean_{a}") for a in AXES], *[f"s_{AXES[i]}_{AXES[j]}" for i in range(k) for j in range(i + 1)])
     for i in range(k):
         for j in range(i + 1):
             cov = (F.col(f"s_{AXES[i]}_{AXES[j]}") / F.col("m") - F.col(f"mean_{AXES[i]}") * F.col(f"mean_{AXES[j]}")) * F.lit(scale)
@@ -174,7 +179,7 @@ def _factor(moments: DataFrame, scale: float) -> DataFrame:
                 df = df.withColumn(f"l_{i}_{j}", F.sqrt(F.greatest(cov + F.lit(FLOOR[i] ** 2), F.lit(1e-9))))
             else:
                 df = df.withColumn(f"l_{i}_{j}", cov / F.col(f"l_{j}_{j}"))
-    return df.select("grp", *[f"mean_{a}" for a in AXES], *[f"l_{i}_{j}" for i in range(k) for j in range(i + 1)])
+    return df.select(*by, *[f"mean_{a}" for a in AXES], *[f"l_{i}_{j}" for i in range(k) for j in range(i + 1)])
 
 
 def _distance(rows: DataFrame) -> DataFrame:
@@ -188,31 +193,65 @@ def _distance(rows: DataFrame) -> DataFrame:
     return rows.select(*keep, sum((F.col(f"y_{i}") * F.col(f"y_{i}") for i in range(1, len(AXES))), F.col("y_0") * F.col("y_0")).alias("d2"))
 
 
-def _moments(rows: DataFrame) -> DataFrame:
+def _moments(rows: DataFrame, by: tuple[str, ...] = ("grp",)) -> DataFrame:
     products = [F.sum(F.col(AXES[i]) * F.col(AXES[j])).alias(f"s_{AXES[i]}_{AXES[j]}") for i in range(len(AXES)) for j in range(i + 1)]
-    return rows.groupBy("grp").agg(F.count("*").alias("m"), *[F.sum(a).alias(f"s_{a}") for a in AXES], *products)
+    return rows.groupBy(*by).agg(F.count("*").alias("m"), *[F.sum(a).alias(f"s_{a}") for a in AXES], *products)
 
 
-def distances(grouped: DataFrame) -> DataFrame:
-    """``grouped`` (grp and the axes) with d2; null where grp is null."""
-    known = grouped.where("grp is not null").select("grp", *AXES)
+def _starts(known: DataFrame) -> DataFrame:
+    """(grp, start, means and factor): three estimates per grp to concentrate from."""
     center = written(_quantile(known, {a: F.col(a) for a in AXES}, 0.5).select("grp", *[F.col(a).alias(f"mean_{a}") for a in AXES]), "center")
-    near = small_side(center)
-    mad = _quantile(known.join(near, "grp"), {a: F.abs(F.col(a) - F.col(f"mean_{a}")) for a in AXES}, 0.5)
+    mad = _quantile(known.join(small_side(center), "grp"), {a: F.abs(F.col(a) - F.col(f"mean_{a}")) for a in AXES}, 0.5)
     spread = [F.sqrt(F.pow(1.4826 * F.col(a), 2) + F.lit(f * f)).alias(f"l_{i}_{i}") for i, (a, f) in enumerate(zip(AXES, FLOOR, strict=True))]
     zero = [F.lit(0.0).alias(f"l_{i}_{j}") for i in range(len(AXES)) for j in range(i)]
-    params = written(center.join(mad.select("grp", *spread, *zero), "grp"), "start")
-    for step in range(STEPS + 1):
-        at = _distance(known.join(small_side(params), "grp"))
-        last = step == STEPS
-        if last:
-            kept, scale = at.where(F.col("d2") <= chi2_quantile(0.975, len(AXES))), _consistency(0.975)
-        else:
-            cut = written(_quantile(at, {"d2": F.col("d2")}, H).withColumnRenamed("d2", "edge"), "cut")
-            kept, scale = at.join(small_side(cut), "grp").where("d2 <= edge"), _consistency(H)
-        params = written(_factor(_moments(kept), scale), "mcd")
-    joined = grouped.join(small_side(params), "grp", "left")
-    return _distance(joined)
+    median = written(center.join(mad.select("grp", *spread, *zero), "grp"), "median")
+    at = _distance(known.join(small_side(median), "grp"))
+    half = written(_quantile(at, {"d2": F.col("d2")}, 0.5).withColumnRenamed("d2", "edge"), "half")
+    nearest = _factor(_moments(at.join(small_side(half), "grp").where("d2 <= edge")), 1.0)
+    found = [median, nearest, _factor(_moments(known), 1.0)]
+    one, *others = [x.withColumn("start", F.lit(k)) for k, x in enumerate(found)]
+    for x in others:
+        one = one.unionByName(x)
+    return written(one, "starts")
+
+
+def _concentrated(known: DataFrame, params: DataFrame) -> DataFrame:
+    """One concentration step for each (grp, start), with log_det of the new covariance."""
+    by = ("grp", "start")
+    at = _distance(known.join(small_side(params), "grp"))
+    cut = written(_quantile(at, {"d2": F.col("d2")}, H, by).withColumnRenamed("d2", "edge"), "cut")
+    kept = at.join(small_side(cut), list(by)).where("d2 <= edge")
+    roots = [F.log(f"l_{i}_{i}") for i in range(len(AXES))]
+    return written(_factor(_moments(kept, by), _consistency(H), by).withColumn("log_det", 2 * sum(roots[1:], roots[0])), "mcd")
+
+
+def estimates(known: DataFrame) -> DataFrame:
+    """(grp, start, means and factor, log_det): the settled estimate with the smallest determinant per grp.
+
+    Determinants that differ by rounding alone (9 decimals of the logarithm) tie; the first start wins.
+    """
+    params = _starts(known)
+    for _ in range(STEPS):
+        params = _concentrated(known, params.drop("log_det"))
+    values = [c for c in params.columns if c != "grp"]
+    best = params.groupBy("grp").agg(F.min_by(F.struct(*values), F.struct(F.round("log_det", 9), F.col("start"))).alias("best"))
+    params = written(best.select("grp", "best.*"), "best")
+    for _ in range(FURTHER):
+        after = _concentrated(known, params.drop("log_det"))
+        change = after.join(params.select("grp", F.col("log_det").alias("before")), "grp").agg(F.max(F.abs(F.col("log_det") - F.col("before")))).first()[0]
+        params = after
+        if change is None or change < SETTLED:
+            break
+    return params
+
+
+def distances(grouped: DataFrame) -> DataFrame:
+    """``grouped`` (grp and the axes) with d2; null where grp is null."""
+    known = grouped.where("grp is not null").select("grp", *AXES)
+    at = _distance(known.join(small_side(estimates(known)), "grp"))
+    kept = at.where(F.col("d2") <= chi2_quantile(0.975, len(AXES)))
+    params = written(_factor(_moments(kept), _consistency(0.975)), "mcd")
+    return _distance(grouped.join(small_side(params), "grp", "left"))
 
 
 def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
