@@ -68,14 +68,14 @@ def fingerprint(raw: bytes | None) -> int:
         return 0
     line = b" ".join(words)
     if len(words) <= SHINGLE:
-        return _majority([xxhash.xxh64_intdigest(line, SEED)])
+        return majority([xxhash.xxh64_intdigest(line, SEED)])
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = [0, *(ends[: -SHINGLE] + 1).tolist()]
     digest = xxhash.xxh64_intdigest
-    return _majority([digest(line[s:e], SEED) for s, e in zip(starts, ends[SHINGLE - 1 :].tolist(), strict=True)])
+    return majority([digest(line[s:e], SEED) for s, e in zip(starts, ends[SHINGLE - 1 :].tolist(), strict=True)])
 
 
-def _majority(hashes: list[int]) -> int:
+def majority(hashes: list[int]) -> int:
     values = np.array(hashes, dtype="<u8")
     ones = np.zeros(64, dtype=np.int64)
     for k in range(0, len(values), 1 << 16):

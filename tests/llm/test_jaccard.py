@@ -2,6 +2,7 @@ import random
 
 import corpus_pipeline as p
 from kelpline.llm import jaccard
+from kelpline.llm.simhash import majority
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -79,3 +80,50 @@ def test_edited_copies_leave_the_stage(spark):
 
 def test_empty_table(spark):
     assert got(spark, []) == []
+
+
+def checked(monkeypatch):
+    """A list that gets the number of pairs of each search and of its links."""
+    seen, links = [], jaccard._links
+
+    def counted(pairs, *rest):
+        out = links(pairs, *rest)
+        seen.append((pairs.selectExpr("least(a, b)", "greatest(a, b)").distinct().count(), out.count()))
+        return out
+
+    monkeypatch.setattr(jaccard, "_links", counted)
+    return seen
+
+
+def test_pairs_of_a_large_group_grow_with_its_rows(spark, monkeypatch):
+    """Near copies that their pivots leave in many components."""
+    rng = random.Random(8)
+    text = [f"w{k}" for k in range(150)]
+    rows = [(k, edited(rng, text, rng.randrange(1, 5))) for k in range(500)]
+    seen = checked(monkeypatch)
+    assert got(spark, rows) == brute(rows)
+    assert sum(n for n, _ in seen) <= 40 * len(rows)
+
+
+def test_turns_leave_out_no_pair(spark, monkeypatch):
+    """Many possible pairs a row, few of them similar: further turns until none is left out."""
+    monkeypatch.setattr(jaccard, "SHORT", 2)
+    monkeypatch.setattr(jaccard, "PIVOTS", 1)
+    monkeypatch.setattr(jaccard, "LOOK", 2)
+    monkeypatch.setattr(jaccard, "MORE", 2)
+    rng = random.Random(6)
+    text = [f"w{k}" for k in range(100)]
+    rows = [(k, edited(rng, text, rng.choice([2, 3, 4, 5]))) for k in range(80)]
+    seen = checked(monkeypatch)
+    assert got(spark, rows) == brute(rows) and len(seen) > 3
+
+
+def test_fingerprints_make_the_first_links(spark, monkeypatch):
+    rng = random.Random(2)
+    text = [f"w{k}" for k in range(400)]
+    rows = [(1, " ".join(text)), (2, " ".join(text[:-1])), (3, edited(rng, text, 8)), (4, "quite another text of its own words")]
+    fps = [int(majority(jaccard.shingles(t.encode()))) for _, t in rows]
+    assert (fps[0] ^ fps[1]).bit_count() <= 4 < (fps[0] ^ fps[2]).bit_count()
+    seen = checked(monkeypatch)
+    assert got(spark, rows) == brute(rows) == [(1, 1), (2, 1), (3, 1), (4, 4)]
+    assert seen[0] == (1, 1)
