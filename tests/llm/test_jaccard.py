@@ -127,3 +127,24 @@ def test_fingerprints_make_the_first_links(spark, monkeypatch):
     seen = checked(monkeypatch)
     assert got(spark, rows) == brute(rows) == [(1, 1), (2, 1), (3, 1), (4, 4)]
     assert seen[0] == (1, 1)
+
+
+def test_sets_of_few_pairs_at_once(spark, monkeypatch):
+    """Sets are kilobytes a pair: 10,000 pairs in a batch are too many for several tasks of an executor."""
+    check, before = jaccard._check, spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+    def watched(batches):
+        def seen():
+            for batch in batches:
+                assert batch.num_rows <= 3
+                yield batch
+
+        return check(seen())
+
+    monkeypatch.setattr(jaccard, "_check", watched)
+    monkeypatch.setattr(jaccard, "CHECKED", 3)
+    words = [f"w{k}" for k in range(60)]
+    rows = [(k, " ".join([*words, f"end{k}"])) for k in range(30)]
+    found = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.component_id) for r in found.collect()) == [(k, 0) for k in range(30)]
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
